@@ -138,10 +138,10 @@ def train_churn_model(features: DataFrame, rounds: int = GBT_ROUNDS, rate: float
     columns = [c for c in CHURN_FEATURES if not (drop_leaky and c == LEAKY_FEATURE)]
     data = model_input(stratified_split(features, seed=seed), columns).withColumn(
         "label", F.col("is_churned").cast("double"))
-    boosted = GBTClassifier(featuresCol="churn_features", labelCol="label",
-                            predictionCol="churn_prediction", probabilityCol="churn_vector",
-                            rawPredictionCol="churn_margin", maxIter=rounds, stepSize=rate,
-                            maxDepth=depth, seed=seed)
+    boosted = (GBTClassifier(featuresCol="churn_features", labelCol="label",
+                             predictionCol="churn_prediction", maxIter=rounds, stepSize=rate,
+                             maxDepth=depth, seed=seed)
+               .setProbabilityCol("churn_vector").setRawPredictionCol("churn_margin"))
     model = Pipeline(stages=[*scaling_stages(columns, "churn"), boosted]).fit(data.where("is_train"))
     return Fitted(model, columns, model.transform(data.where(~F.col("is_train"))))
 

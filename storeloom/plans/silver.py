@@ -21,8 +21,12 @@ QUALITY_SECTIONS = {
 }
 
 
+def read_silver_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
+    return spark.read.schema(SILVER[table]).parquet(layout.path("silver", table))
+
+
 def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {t: spark.read.schema(s).parquet(layout.path("silver", t)) for t, s in SILVER.items()}
+    return {t: read_silver_table(spark, layout, t) for t in SILVER}
 
 
 def null_profile(df: DataFrame, name: str) -> DataFrame:
@@ -37,7 +41,7 @@ def silver_flow(spark: SparkSession, layout: Layout, as_of: date, min_quantity:
     bronze = read_bronze(spark, layout)
     sinks.write_parquet(silver.clean_clients(bronze["clients"], as_of),
                         layout.path("silver", "clients"))
-    clients = read_silver(spark, layout)["clients"]
+    clients = read_silver_table(spark, layout, "clients")
 
     def purchases() -> None:
         clean = silver.clean_purchases(bronze["purchases"], clients, as_of, min_quantity)
