@@ -17,7 +17,6 @@ from storeloom.layout import Layout
 from storeloom.operators import facts, kpis, ml, quality, serving, silver, stats, temporal
 from storeloom.plans import gold, prediction, refresh
 from storeloom.plans.pipeline import run_pipeline, summary_of
-from storeloom.plans.silver import QUALITY_SECTIONS
 from storeloom.schemas import BRONZE, CLIENT_COLUMNS, PURCHASE_COLUMNS
 from storeloom.session import scratch_path, through_table
 from storeloom.sources import files, sinks, starschema
@@ -118,19 +117,10 @@ def scan_parquet(spark, sf):
     return files.scan_parquet(spark, path)
 
 
-def _report_rows(report: DataFrame, sections: dict[str, list[str]]) -> DataFrame:
-    """A nested report back as ``(section, metric, value)``."""
-    flat = report.select(*[F.col(f"{s}.{m}").cast("double").alias(f"{s}__{m}")
-                           for s, metrics in sections.items() for m in metrics])
-    parts = F.split("key", "__")
-    return (flat.unpivot([], flat.columns, "key", "value")
-            .select(parts[0].alias("section"), parts[1].alias("metric"), "value"))
-
-
 def scan_json_report(spark, sf):
     layout, _ = _gold_run(spark, sf)
     path = layout.export("gold", "statistical_distributions", "json")
-    return _report_rows(files.scan_json_report(spark, path), gold.STATISTICS_SECTIONS)
+    return silver.report_rows(files.scan_json_report(spark, path), gold.STATISTICS_SECTIONS)
 
 
 def bronze_ingest(spark, sf):
@@ -172,9 +162,8 @@ def write_parquet(spark, sf):
 
 def write_json_report(spark, sf):
     path = scratch_path(spark, "quality-report")
-    row = sinks.report_row(quality_report(spark, sf), QUALITY_SECTIONS)
-    sinks.write_json_report(row, path, stamp="report_timestamp")
-    return _report_rows(files.scan_json_report(spark, path), QUALITY_SECTIONS)
+    sinks.write_json_report(_quality(spark, sf), path, stamp="report_timestamp")
+    return silver.report_rows(files.scan_json_report(spark, path))
 
 
 def refresh_serving(spark, sf):
@@ -271,8 +260,15 @@ def quality_purchases(spark, sf):
     return silver.quality_purchases(starschema.dirty_purchases(spark, sf), _valid(spark, sf), AS_OF)
 
 
+def _quality(spark, sf):
+    clients, purchases = _dirty(spark, sf)
+    return silver.quality_report(
+        silver.client_quality_row(clients, AS_OF),
+        silver.purchase_quality_row(purchases, _valid(spark, sf), AS_OF))
+
+
 def quality_report(spark, sf):
-    return silver.quality_report(quality_clients(spark, sf), quality_purchases(spark, sf))
+    return silver.report_rows(_quality(spark, sf))
 
 
 # --- gold ------------------------------------------------------------------
@@ -294,7 +290,7 @@ def client_high_value_flag(spark, sf):
 
 
 def product_top_countries_join(spark, sf):
-    fact = _fact(spark, sf)
+    fact = fact_join(spark, sf)
     return kpis.product_top_countries_join(
         kpis.product_totals(fact), kpis.product_top_countries(fact)).select(
         "product", "total_revenue", "top_countries")
@@ -344,7 +340,10 @@ def global_kpis(spark, sf):
 
 
 def temporal_sales(spark, sf):
-    tables = _tables(spark, sf)
+    purchases = starschema.purchases(spark, sf)
+    tables = {"daily_sales": temporal.daily_sales(purchases),
+              "weekly_sales": temporal.weekly_sales(purchases),
+              "monthly_sales": temporal.monthly_sales(purchases)}
     label = {"daily": F.date_format("date", "yyyy-MM-dd"), "weekly": F.col("year_week"),
              "monthly": F.col("year_month")}
     return reduce(DataFrame.unionByName, [
@@ -355,9 +354,9 @@ def temporal_sales(spark, sf):
 
 
 def top_performers(spark, sf):
-    tables = _tables(spark, sf)
-    return stats.top_performers(tables["product_analytics"], tables["country_analytics"],
-                                _totals(spark, sf))
+    totals = _totals(spark, sf)
+    return stats.top_performers(kpis.product_totals(starschema.purchases(spark, sf)),
+                                kpis.country_totals(totals), totals)
 
 
 def serving_lookup(spark, sf):
@@ -452,8 +451,12 @@ def save_model(spark, sf):
 
 # --- registry --------------------------------------------------------------
 
-def _from_table(name: str) -> Query:
-    return lambda spark, sf: _tables(spark, sf)[name]
+def _products(spark: SparkSession, sf: str) -> DataFrame:
+    return kpis.product_analytics(fact_join(spark, sf))
+
+
+def _countries(spark: SparkSession, sf: str) -> DataFrame:
+    return kpis.country_analytics(_totals(spark, sf))
 
 
 def _of_kpis(operator) -> Query:
@@ -509,10 +512,10 @@ _QUERIES: dict[str, Query] = {
     "product_totals": _series(kpis.product_totals),
     "product_top_countries": lambda s, d: kpis.product_top_countries(fact_join(s, d)),
     "product_top_countries_join": product_top_countries_join,
-    "product_analytics": _from_table("product_analytics"),
+    "product_analytics": _products,
     "country_totals": lambda s, d: kpis.country_totals(_totals(s, d)),
     "market_share": market_share,
-    "country_analytics": _from_table("country_analytics"),
+    "country_analytics": _countries,
     "daily_totals": _series(temporal.daily_totals),
     "weekly_totals": _series(temporal.weekly_totals),
     "monthly_totals": _series(temporal.monthly_totals),
@@ -529,15 +532,15 @@ _QUERIES: dict[str, Query] = {
     "weekly_growth": weekly_growth,
     "monthly_growth": monthly_growth,
     "top_k_per_group": top_k_per_group,
-    "daily_sales": _from_table("daily_sales"),
-    "weekly_sales": _from_table("weekly_sales"),
-    "monthly_sales": _from_table("monthly_sales"),
+    "daily_sales": _series(temporal.daily_sales),
+    "weekly_sales": _series(temporal.weekly_sales),
+    "monthly_sales": _series(temporal.monthly_sales),
 
-    "top_products": lambda s, d: serving.top_products(_tables(s, d)["product_analytics"]),
-    "countries_by_revenue": lambda s, d: serving.countries_by_revenue(
-        _tables(s, d)["country_analytics"]),
+    "top_products": lambda s, d: serving.top_products(_products(s, d)),
+    "countries_by_revenue": lambda s, d: serving.countries_by_revenue(_countries(s, d)),
     "top_clients": lambda s, d: serving.top_clients(_totals(s, d)),
-    "recent_days": lambda s, d: serving.recent_days(_tables(s, d)["daily_sales"]),
+    "recent_days": lambda s, d: serving.recent_days(
+        temporal.daily_sales(starschema.purchases(s, d))),
     "top_performers": top_performers,
 
     "global_kpis": global_kpis,

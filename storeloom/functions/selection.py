@@ -1,15 +1,15 @@
 """Exact order statistics without gathering the values in one task.
 
 ``percentile`` and ``median`` merge every distinct value of a group into one
-in-memory map on one task. Here a monotone bucket function first narrows the
-search: counting rows per bucket needs only a map-side combined aggregation,
-and the running count over buckets is small by construction. Only the rows of
-the buckets that hold a wanted rank are then grouped by value and ranked.
+in-memory map on one task. Here the values are first counted, which combines
+on the map side and makes a frequent value one row. A monotone bucket function
+then narrows the search: the running count over buckets is small by
+construction, and only the buckets that hold a wanted rank are ordered inside.
+The counts feed both steps; Spark plans their shuffle once and reuses it.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -32,88 +32,91 @@ def hash_bucket(value: Column) -> Column:
     return F.shiftright(value, 48)
 
 
-def values_at_ranks(df: DataFrame, value: str, by: Sequence[str],
-                    ranks: Callable[[Column], list[Column]], max_ranks: int,
+def value_counts(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+    """``by`` columns, ``value`` and ``rows``; NULL values are left out."""
+    return (df.where(F.col(value).isNotNull())
+            .groupBy(*by, F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("rows")))
+
+
+def values_at_ranks(counts: DataFrame, by: Sequence[str],
+                    ranks: Callable[[Column], list[Column]], n_ranks: int,
                     bucket: Callable[[Column], Column] = magnitude_bucket) -> DataFrame:
-    """The values at 0-based ranks of each ``by`` group.
+    """The values at 0-based ranks of each ``by`` group of counted values.
 
-    ``ranks`` maps the group's row count to the wanted ranks. Returns one row
-    per group: ``by`` columns, ``n`` and an array ``at_ranks``. NULL values
-    are not counted.
+    ``ranks`` maps the group's row count to ``n_ranks`` wanted ranks. Returns
+    one row per group: ``by`` columns, ``n`` and an array ``at_ranks``.
     """
     by = list(by)
-    keyed = (df.where(F.col(value).isNotNull())
-             .select(*by, F.col(value).alias("_v"), bucket(F.col(value)).alias("_b")))
-
-    ordered = Window.partitionBy(*by).orderBy("_b")
-    everything = Window.partitionBy(*by)
-    buckets = (
-        keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_size"))
-        .select(*by, "_b",
-                (F.sum("_size").over(ordered) - F.col("_size")).alias("_start"),
-                F.sum("_size").over(ordered).alias("_stop"),
-                F.sum("_size").over(everything).alias("_n"))
-        .withColumn("_ranks", F.array(*ranks(F.col("_n"))))
-        .where(F.exists("_ranks", lambda r: (r >= F.col("_start")) & (r < F.col("_stop"))))
+    keyed = counts.select(*by, "value", "rows", bucket(F.col("value")).alias("bucket"))
+
+    ordered = Window.partitionBy(*by).orderBy("bucket")
+    totals = (
+        keyed.groupBy(*by, "bucket").agg(F.sum("rows").alias("size"))
+        .select(*by, "bucket", "size",
+                F.sum("size").over(ordered).alias("stop"),
+                F.sum("size").over(Window.partitionBy(*by)).alias("n"))
+        .withColumn("start", F.col("stop") - F.col("size"))
+        .withColumn("ranks", F.array(*ranks(F.col("n"))))
+        .where(F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("stop"))))
     )
 
-    # At most ``max_ranks`` rows per group, and groups are few metrics or
-    # labels: bounded, so the small side is safe to broadcast. Null-safe keys
-    # keep a NULL group.
-    small = buckets.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(by)],
-                           F.col("_b").alias("_bucket"), "_start", "_n", "_ranks")
-    same = keyed["_b"] == F.col("_bucket")
+    # At most ``n_ranks`` rows per group, and groups are a few metrics or
+    # labels: bounded, so this side is safe to broadcast. Null-safe keys keep
+    # a NULL group.
+    wanted = totals.select(*[F.col(c).alias(f"group_{i}") for i, c in enumerate(by)],
+                           F.col("bucket").alias("in_bucket"), "start", "n", "ranks")
+    same = F.col("bucket") == F.col("in_bucket")
     for i, c in enumerate(by):
-        same = same & keyed[c].eqNullSafe(F.col(f"_g{i}"))
-    inside = (
-        keyed.join(F.broadcast(small), same)
-        .groupBy(*by, "_b", "_v", "_start", "_n", "_ranks")
-        .agg(F.count(F.lit(1)).alias("_size"))
+        same = same & F.col(c).eqNullSafe(F.col(f"group_{i}"))
+    within = Window.partitionBy(*by, "bucket").orderBy("value")
+    placed = (
+        keyed.join(F.broadcast(wanted), same)
+        .withColumn("until", F.col("start") + F.sum("rows").over(within))
+        .withColumn("since", F.col("until") - F.col("rows"))
     )
-    running = F.col("_start") + F.sum("_size").over(
-        Window.partitionBy(*by, "_b").orderBy("_v"))
-    placed = (inside.withColumn("_stop", running)
-              .withColumn("_from", F.col("_stop") - F.col("_size")))
 
     def pick(i: int) -> Column:
-        rank = F.element_at("_ranks", i + 1)
-        hit = (F.col("_from") <= rank) & (rank < F.col("_stop"))
-        return F.max(F.when(hit, F.col("_v")))
+        rank = F.element_at("ranks", i + 1)
+        hit = (F.col("since") <= rank) & (rank < F.col("until"))
+        return F.max(F.when(hit, F.col("value")))
 
     return placed.groupBy(*by).agg(
-        F.max("_n").alias("n"),
-        F.array(*[pick(i) for i in range(max_ranks)]).alias("at_ranks"))
+        F.max("n").alias("n"), F.array(*[pick(i) for i in range(n_ranks)]).alias("at_ranks"))
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
-                    by: Sequence[str] = ()) -> DataFrame:
-    """Linearly interpolated quantiles per group.
+def quantiles_of_counts(counts: DataFrame, probabilities: Sequence[float],
+                        by: Sequence[str] = ()) -> DataFrame:
+    """Linearly interpolated quantiles per group of counted values.
 
     Returns ``by`` columns and an array ``quantiles`` of doubles in the order
     of ``probabilities``.
     """
-    def positions(n: Column) -> list[Column]:
-        out = []
-        for p in probabilities:
-            at = (n - 1) * F.lit(float(p))
-            out += [F.floor(at), F.ceil(at)]
-        return out
+    def position(i: int, n: Column) -> Column:
+        return (n - 1) * F.lit(float(probabilities[i]))
+
+    def neighbours(n: Column) -> list[Column]:
+        return [f(position(i, n)) for i in range(len(probabilities)) for f in (F.floor, F.ceil)]
 
-    found = values_at_ranks(df, value, by, positions, 2 * len(probabilities))
+    found = values_at_ranks(counts, by, neighbours, 2 * len(probabilities))
 
     def interpolate(i: int) -> Column:
         low = F.element_at("at_ranks", 2 * i + 1).cast("double")
         high = F.element_at("at_ranks", 2 * i + 2).cast("double")
-        at = (F.col("n") - 1) * F.lit(float(probabilities[i]))
+        at = position(i, F.col("n"))
         return low + (high - low) * (at - F.floor(at))
 
     return found.select(
         *by, F.array(*[interpolate(i) for i in range(len(probabilities))]).alias("quantiles"))
 
 
+def exact_quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
+                    by: Sequence[str] = ()) -> DataFrame:
+    return quantiles_of_counts(value_counts(df, value, by), probabilities, by)
+
+
 def approx_quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
                      by: Sequence[str] = (), accuracy: int = 10_000) -> DataFrame:
-    """As :func:`exact_quantiles`, from a mergeable sketch in one pass."""
+    """As :func:`exact_quantiles`, from a mergeable sketch."""
     probs = F.array(*[F.lit(float(p)) for p in probabilities])
     return df.groupBy(*by).agg(
         F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("quantiles"))
@@ -139,14 +142,9 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int,
     def last_train(n: Column) -> list[Column]:
         return [F.floor(n * F.lit(fraction)) - 1]
 
-    cut = (values_at_ranks(hashed, "_u", ["_y"], last_train, 1, hash_bucket)
+    cut = (values_at_ranks(value_counts(hashed, "_u", ["_y"]), ["_y"], last_train, 1, hash_bucket)
            .select("_y", F.element_at("at_ranks", 1).alias("_cut")))
     flagged = F.coalesce(F.col("_u") <= F.col("_cut"), F.lit(False))
     # One row per label value.
     return (hashed.join(F.broadcast(cut), "_y", "left")
             .withColumn("is_train", flagged).drop("_u", "_y", "_cut"))
-
-
-def rows_for(fraction: float, n: int) -> int:
-    """How many of ``n`` rows :func:`hash_split` puts in the training part."""
-    return math.floor(n * fraction)

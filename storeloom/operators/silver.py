@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -34,39 +35,46 @@ def _first_failure(checks: Sequence[tuple[str, Column]]) -> Column:
     return out
 
 
+def _null_mask(columns: Sequence[str]) -> Column:
+    """One bit per column that is NULL; 0 for a complete row."""
+    bits = [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(columns)]
+    return reduce(lambda a, b: a + b, bits)
+
+
 def tag_clients(bronze: DataFrame, as_of: date) -> DataFrame:
-    """Typed clients with ``drop_reason`` and ``was_future``."""
+    """Typed clients with ``drop_reason``, ``null_mask`` and ``was_future``."""
     read = bronze.select(
-        q.any_null(CLIENT_COLUMNS).alias("_null"),
+        _null_mask(CLIENT_COLUMNS).alias("null_mask"),
         q.number("id_client").alias("id_client"), "name", "email",
         q.parsed_date("subscription_date").alias("subscription_date"), "country")
-    dated = ~F.col("_null") & F.col("subscription_date").isNotNull()
+    dated = (F.col("null_mask") == 0) & F.col("subscription_date").isNotNull()
     reason = _first_failure([
-        ("null_values", F.col("_null")),
+        ("null_values", F.col("null_mask") != 0),
         ("invalid_dates", F.col("subscription_date").isNull()),
         ("invalid_emails", ~q.is_email("email")),
         ("invalid_numbers", F.col("id_client").isNull())])
     return read.select(
         "id_client", "name", "email",
         F.least(F.col("subscription_date"), F.lit(as_of)).alias("subscription_date"), "country",
-        reason.alias("drop_reason"),
+        reason.alias("drop_reason"), "null_mask",
         (dated & (F.col("subscription_date") > F.lit(as_of))).alias("was_future"))
 
 
 def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> DataFrame:
-    """Typed purchases with ``drop_reason``, ``was_future`` and ``was_recalculated``.
+    """Typed purchases with ``drop_reason``, ``null_mask``, ``was_future`` and
+    ``was_recalculated``.
 
     Orphans and duplicates need other rows and are not tagged here.
     """
     numbers = ["id_purchase", "id_client", "price", "quantity", "total"]
     read = bronze.select(
-        q.any_null(PURCHASE_COLUMNS).alias("_null"), q.trimmed("product").alias("product"),
+        _null_mask(PURCHASE_COLUMNS).alias("null_mask"), q.trimmed("product").alias("product"),
         q.parsed_date("purchase_date").alias("purchase_date"),
         *[q.number(c).alias(c) for c in numbers])
-    dated = ~F.col("_null") & F.col("purchase_date").isNotNull()
+    dated = (F.col("null_mask") == 0) & F.col("purchase_date").isNotNull()
     negative = (F.col("price") < 0) | (F.col("quantity") < min_quantity)
     reason = _first_failure([
-        ("null_values", F.col("_null")),
+        ("null_values", F.col("null_mask") != 0),
         ("invalid_dates", F.col("purchase_date").isNull()),
         ("invalid_numbers", q.any_null(numbers)),
         ("negative_values", negative)])
@@ -75,7 +83,7 @@ def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> Data
         "id_purchase", "id_client", "product", "price", "quantity",
         F.least(F.col("purchase_date"), F.lit(as_of)).alias("purchase_date"),
         F.when(reason.isNull(), fresh).otherwise(F.col("total")).alias("total"),
-        reason.alias("drop_reason"),
+        reason.alias("drop_reason"), "null_mask",
         (dated & (F.col("purchase_date") > F.lit(as_of))).alias("was_future"),
         (reason.isNull() & (F.col("total") != fresh)).alias("was_recalculated"))
 
@@ -97,91 +105,120 @@ def clean_purchases(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
             .select(*PURCHASE_COLUMNS))
 
 
-def _long(counts: DataFrame, metrics: list[str]) -> DataFrame:
-    typed = counts.select(*[F.coalesce(F.col(m).cast("bigint"), F.lit(0).cast("bigint")).alias(m)
-                            for m in metrics])
-    return typed.unpivot([], metrics, "metric", "value")
-
-
 def _dropped(reason: str) -> Column:
     return F.sum(F.when(F.col("drop_reason") == reason, F.col("rows"))).alias(reason)
 
 
+def _nulls(columns: Sequence[str]) -> list[Column]:
+    """Rows with a NULL per column, from the bits of ``null_mask``."""
+    return [F.coalesce(F.sum(F.when(F.col("null_mask").bitwiseAND(1 << i) != 0, F.col("rows"))),
+                       F.lit(0)).alias(f"null_{c}") for i, c in enumerate(columns)]
+
+
+def _zero_for_null(row: DataFrame, metrics: Sequence[str]) -> DataFrame:
+    nulls = [c for c in row.columns if c not in metrics]
+    return row.select(*[F.coalesce(F.col(m).cast("bigint"), F.lit(0).cast("bigint")).alias(m)
+                        for m in metrics], *nulls)
+
+
 def client_quality_row(bronze: DataFrame, as_of: date) -> DataFrame:
-    """One row, one column per metric, from a single scan of bronze.
+    """One row, one column per metric and per null count, from one scan of bronze.
 
     Rejected rows share a NULL key and shrink to a few rows per task before
     the first shuffle; the shuffles are those of cleaning itself.
     """
     kept = F.col("drop_reason").isNull()
     by_id = (tag_clients(bronze, as_of)
-             .groupBy(F.when(kept, F.col("id_client")).alias("id_client"), "drop_reason")
+             .groupBy(F.when(kept, F.col("id_client")).alias("id_client"), "drop_reason", "null_mask")
              .agg(F.count(F.lit(1)).alias("rows"),
                   F.count_if("was_future").alias("future"),
                   F.min(F.when(kept, F.struct("subscription_date", "email"))).alias("first")))
-    by_email = (by_id.groupBy(F.col("first.email").alias("email"), "drop_reason")
+    by_email = (by_id.groupBy(F.col("first.email").alias("email"), "drop_reason", "null_mask")
                 .agg(F.sum("rows").alias("rows"), F.sum("future").alias("future")))
     final = F.count("email")
-    return by_email.agg(
+    row = by_email.agg(
         F.sum("rows").alias("initial_rows"),
         _dropped("null_values"), _dropped("invalid_dates"),
         F.sum("future").alias("future_dates_fixed"),
         _dropped("invalid_emails"), _dropped("invalid_numbers"),
         (F.sum(F.when(kept, F.col("rows"))) - final).alias("duplicates_removed"),
-        final.alias("final_rows"))
+        final.alias("final_rows"), *_nulls(CLIENT_COLUMNS))
+    return _zero_for_null(row, CLIENT_METRICS)
 
 
 def purchase_quality_row(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
                          min_quantity: int = 0) -> DataFrame:
-    """One row, one column per metric, from a single scan of bronze."""
+    """One row, one column per metric and per null count, from one scan of bronze."""
     known = valid_ids.select(F.col("id_client"), F.lit(True).alias("known"))
     tagged = tag_purchases(bronze, as_of, min_quantity).join(known, "id_client", "left")
     reason = F.when(F.col("drop_reason").isNotNull(), F.col("drop_reason")).when(
         F.col("known").isNull(), F.lit("orphan_purchases"))
+    kept = F.col("drop_reason").isNull()
     by_id = (tagged.withColumn("drop_reason", reason)
-             .groupBy(F.when(F.col("drop_reason").isNull(), F.col("id_purchase")).alias("id_purchase"),
-                      "drop_reason")
+             .groupBy(F.when(kept, F.col("id_purchase")).alias("id_purchase"),
+                      "drop_reason", "null_mask")
              .agg(F.count(F.lit(1)).alias("rows"),
                   F.count_if("was_future").alias("future"),
                   F.count_if("was_recalculated").alias("recalculated")))
     final = F.count("id_purchase")
-    return by_id.agg(
+    row = by_id.agg(
         F.sum("rows").alias("initial_rows"),
         _dropped("null_values"), _dropped("invalid_dates"),
         F.sum("future").alias("future_dates_fixed"),
         _dropped("invalid_numbers"), _dropped("negative_values"),
         F.sum("recalculated").alias("total_recalculated"),
         _dropped("orphan_purchases"),
-        (F.sum(F.when(F.col("drop_reason").isNull(), F.col("rows"))) - final)
-        .alias("duplicates_removed"),
-        final.alias("final_rows"))
+        (F.sum(F.when(kept, F.col("rows"))) - final).alias("duplicates_removed"),
+        final.alias("final_rows"), *_nulls(PURCHASE_COLUMNS))
+    return _zero_for_null(row, PURCHASE_METRICS)
 
 
 def quality_clients(bronze: DataFrame, as_of: date) -> DataFrame:
     """``(metric, value)`` of the client waterfall."""
-    return _long(client_quality_row(bronze, as_of), CLIENT_METRICS)
+    return (client_quality_row(bronze, as_of).select(*CLIENT_METRICS)
+            .unpivot([], CLIENT_METRICS, "metric", "value"))
 
 
 def quality_purchases(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
                       min_quantity: int = 0) -> DataFrame:
-    return _long(purchase_quality_row(bronze, valid_ids, as_of, min_quantity), PURCHASE_METRICS)
+    return (purchase_quality_row(bronze, valid_ids, as_of, min_quantity).select(*PURCHASE_METRICS)
+            .unpivot([], PURCHASE_METRICS, "metric", "value"))
+
 
+def quality_report(client_row: DataFrame, purchase_row: DataFrame) -> DataFrame:
+    """The nested report, one row: a struct per table and the summary.
 
-def quality_report(clients: DataFrame, purchases: DataFrame) -> DataFrame:
-    """``(section, metric, value)`` from the two waterfalls plus the summary."""
-    sections = (clients.select(F.lit("clients").alias("section"), "metric", "value")
-                .unionByName(purchases.select(F.lit("purchases").alias("section"),
-                                              "metric", "value")))
-    rows_in = F.sum(F.when(F.col("metric") == "initial_rows", F.col("value")))
-    rows_out = F.sum(F.when(F.col("metric") == "final_rows", F.col("value")))
+    Per-column null counts are maps that name only columns with nulls.
+    """
+    def section(row: DataFrame, metrics: Sequence[str], columns: Sequence[str]) -> Column:
+        counts = F.create_map(*[x for c in columns for x in (F.lit(c), F.col(f"null_{c}"))])
+        named = F.map_filter(counts, lambda _, n: n > 0).alias("null_values_by_column")
+        return row.select(F.struct(*metrics, named)).scalar()
+
+    # Two one-row scalar subqueries, each evaluated once.
+    both = client_row.sparkSession.range(1).select(
+        section(client_row, CLIENT_METRICS, CLIENT_COLUMNS).alias("clients"),
+        section(purchase_row, PURCHASE_METRICS, PURCHASE_COLUMNS).alias("purchases"))
+    rows_in = F.col("clients.initial_rows") + F.col("purchases.initial_rows")
+    rows_out = F.col("clients.final_rows") + F.col("purchases.final_rows")
     # The score is a percentage rounded last, so scale before rounding.
-    summary = (sections.agg(rows_in.alias("rows_in"), rows_out.alias("rows_out"))
-               .select(F.lit("summary").alias("section"),
-                       F.col("rows_in").cast("double").alias("total_input_rows"),
-                       F.col("rows_out").cast("double").alias("total_output_rows"),
-                       ratio(F.col("rows_out") * 100, F.col("rows_in")).alias("data_quality_score"))
-               .unpivot(["section"],
-                        ["total_input_rows", "total_output_rows", "data_quality_score"],
-                        "metric", "value"))
-    return (sections.withColumn("value", F.col("value").cast("double"))
-            .unionByName(summary))
+    return both.withColumn("summary", F.struct(
+        rows_in.alias("total_input_rows"), rows_out.alias("total_output_rows"),
+        ratio(rows_out * 100, rows_in).alias("data_quality_score")))
+
+
+REPORT_SECTIONS = {
+    "clients": CLIENT_METRICS,
+    "purchases": PURCHASE_METRICS,
+    "summary": ["total_input_rows", "total_output_rows", "data_quality_score"],
+}
+
+
+def report_rows(report: DataFrame, sections: dict[str, list[str]] | None = None) -> DataFrame:
+    """A nested report as ``(section, metric, value)`` rows of doubles."""
+    flat = report.select(*[F.col(f"{s}.{m}").cast("double").alias(f"{s}__{m}")
+                           for s, metrics in (sections or REPORT_SECTIONS).items()
+                           for m in metrics])
+    parts = F.split("key", "__")
+    return (flat.unpivot([], flat.columns, "key", "value")
+            .select(parts[0].alias("section"), parts[1].alias("metric"), "value"))

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from storeloom.functions.numeric import cents, from_cents, ratio, round2
-from storeloom.functions.selection import approx_quantiles, exact_quantiles
+from storeloom.functions.selection import (approx_quantiles, exact_quantiles,
+                                           quantiles_of_counts, value_counts)
 
 ORDER_VALUE_QUANTILES = {"median": 0.5, "q25": 0.25, "q75": 0.75, "q90": 0.9, "q95": 0.95}
 MEDIAN = {"median": 0.5}
+SECTION = {"total": "order_value_distribution", "quantity": "quantity_distribution",
+           "price": "price_distribution"}
 
 
 def _long(section: str, row: DataFrame) -> DataFrame:
@@ -18,25 +21,36 @@ def _long(section: str, row: DataFrame) -> DataFrame:
             .select(F.lit(section).alias("section"), "metric", "value"))
 
 
+def _measures(sales: DataFrame, columns: list[str]) -> DataFrame:
+    """``(measure, value)`` rows of several columns, so that one pass serves all."""
+    return (sales.select(*[F.col(c).cast("double").alias(c) for c in columns])
+            .unpivot([], columns, "measure", "value"))
+
+
+def _quantile_rows(found: DataFrame, wanted: dict[str, dict[str, float]],
+                   probabilities: list[float]) -> DataFrame:
+    """``(section, metric, value)`` from one quantile array per measure."""
+    def named(names: dict[str, float]) -> Column:
+        return F.create_map(*[
+            x for name, p in names.items()
+            for x in (F.lit(name), F.element_at("quantiles", probabilities.index(p) + 1))])
+
+    cases = [F.when(F.col("measure") == c, named(names)) for c, names in wanted.items()]
+    section = F.create_map(*[F.lit(x) for c in wanted for x in (c, SECTION[c])])
+    return (found.select("measure", F.explode(F.coalesce(*cases)).alias("metric", "raw"))
+            .select(section[F.col("measure")].alias("section"), "metric",
+                    round2(F.col("raw")).alias("value")))
+
+
 def _quantiles(sales: DataFrame, wanted: dict[str, dict[str, float]], approx: bool) -> DataFrame:
-    """Quantiles of several columns in one pass, as ``(metric_column, quantiles)``.
+    """Named quantiles of the given columns.
 
-    ``wanted`` maps a column to its named probabilities. All columns use the
-    union of the probabilities; the caller picks by position.
+    All columns use the union of the probabilities; unwanted ones are free.
     """
     probabilities = sorted({p for names in wanted.values() for p in names.values()})
-    columns = list(wanted)
-    values = (sales.select(*[F.col(c).cast("double").alias(c) for c in columns])
-              .unpivot([], columns, "measure", "value"))
     find = approx_quantiles if approx else exact_quantiles
-    found = find(values, "value", probabilities, ["measure"])
-    named = [
-        F.when(F.col("measure") == c,
-               F.create_map(*[x for name, p in names.items()
-                              for x in (F.lit(name),
-                                        F.element_at("quantiles", probabilities.index(p) + 1))]))
-        for c, names in wanted.items()]
-    return found.select("measure", F.explode(F.coalesce(*named)).alias("metric", "raw"))
+    found = find(_measures(sales, list(wanted)), "value", probabilities, ["measure"])
+    return _quantile_rows(found, wanted, probabilities)
 
 
 def _moments(column: str, prefix: str = "") -> list[Column]:
@@ -53,41 +67,34 @@ def _span(column: str, prefix: str = "") -> list[Column]:
             F.min(column).alias(f"{prefix}min"), F.max(column).alias(f"{prefix}max")]
 
 
-def _quantile_rows(section: str, sales: DataFrame, column: str, names: dict[str, float],
-                   approx: bool) -> DataFrame:
-    return (_quantiles(sales, {column: names}, approx)
-            .select(F.lit(section).alias("section"), "metric", round2(F.col("raw")).alias("value")))
-
-
 def order_value_distribution(sales: DataFrame, approx: bool = False) -> DataFrame:
     section = "order_value_distribution"
     return (_long(section, sales.agg(*_moments("total")))
-            .unionByName(_quantile_rows(section, sales, "total", ORDER_VALUE_QUANTILES, approx)))
+            .unionByName(_quantiles(sales, {"total": ORDER_VALUE_QUANTILES}, approx)))
 
 
-def quantity_mode(sales: DataFrame) -> DataFrame:
-    """The most frequent quantity, the smallest on ties.
-
-    Counting per value first combines on the map side; the best of the counts
-    is then a plain maximum.
-    """
-    counts = sales.where(F.col("quantity").isNotNull()).groupBy("quantity").agg(
-        F.count(F.lit(1)).alias("rows"))
-    best = F.max(F.struct(F.col("rows"), (-F.col("quantity")).alias("low")))
+def mode_of_counts(counts: DataFrame) -> DataFrame:
+    """The most frequent value, the smallest on ties, from counted values."""
+    best = F.max(F.struct(F.col("rows"), (-F.col("value")).alias("low")))
     return counts.agg((-best["low"]).alias("mode"))
 
 
+def quantity_mode(sales: DataFrame) -> DataFrame:
+    """Counting per value combines on the map side; the rest is a maximum."""
+    return mode_of_counts(value_counts(sales, "quantity"))
+
+
 def quantity_distribution(sales: DataFrame, approx: bool = False) -> DataFrame:
     section = "quantity_distribution"
     return (_long(section, sales.agg(*_span("quantity")))
             .unionByName(_long(section, quantity_mode(sales)))
-            .unionByName(_quantile_rows(section, sales, "quantity", MEDIAN, approx)))
+            .unionByName(_quantiles(sales, {"quantity": MEDIAN}, approx)))
 
 
 def price_distribution(sales: DataFrame, approx: bool = False) -> DataFrame:
     section = "price_distribution"
     return (_long(section, sales.agg(*_moments("price")))
-            .unionByName(_quantile_rows(section, sales, "price", MEDIAN, approx)))
+            .unionByName(_quantiles(sales, {"price": MEDIAN}, approx)))
 
 
 def _overall(prefix: str = "", approx: bool = False) -> list[Column]:
@@ -114,10 +121,10 @@ def overall_metrics(fact: DataFrame, approx: bool = False) -> DataFrame:
 
 
 def statistical_distributions(fact: DataFrame, approx: bool = False) -> DataFrame:
-    """All four sections.
+    """All four sections from two passes over the fact.
 
-    Moments and grand totals share one scan, and the quantiles of the three
-    columns share theirs.
+    Moments and grand totals share one. Quantiles and the mode share the
+    other, which counts the values of all three columns.
     """
     row = fact.agg(*_moments("total", "order_value_distribution__"),
                    *_span("quantity", "quantity_distribution__"),
@@ -128,15 +135,17 @@ def statistical_distributions(fact: DataFrame, approx: bool = False) -> DataFram
     totals = (doubles.unpivot([], doubles.columns, "key", "value")
               .select(parts[0].alias("section"), parts[1].alias("metric"), "value"))
 
-    sections = {"total": "order_value_distribution", "quantity": "quantity_distribution",
-                "price": "price_distribution"}
-    found = _quantiles(fact, {"total": ORDER_VALUE_QUANTILES, "quantity": MEDIAN, "price": MEDIAN},
-                       approx)
-    section = F.create_map(*[F.lit(x) for pair in sections.items() for x in pair])[F.col("measure")]
-    quantiles = found.select(section.alias("section"), "metric", round2(F.col("raw")).alias("value"))
-
-    return (totals.unionByName(quantiles)
-            .unionByName(_long("quantity_distribution", quantity_mode(fact))))
+    wanted = {"total": ORDER_VALUE_QUANTILES, "quantity": MEDIAN, "price": MEDIAN}
+    if approx:
+        quantiles = _quantiles(fact, wanted, approx)
+        mode = quantity_mode(fact)
+    else:
+        probabilities = sorted(set(ORDER_VALUE_QUANTILES.values()))
+        counts = value_counts(_measures(fact, list(wanted)), "value", ["measure"])
+        found = quantiles_of_counts(counts, probabilities, ["measure"])
+        quantiles = _quantile_rows(found, wanted, probabilities)
+        mode = mode_of_counts(counts.where(F.col("measure") == "quantity"))
+    return totals.unionByName(quantiles).unionByName(_long("quantity_distribution", mode))
 
 
 def top_performers(products: DataFrame, countries: DataFrame, clients: DataFrame) -> DataFrame:

@@ -4,23 +4,15 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from storeloom.layout import Layout
 from storeloom.operators import silver
-from storeloom.operators.quality import profile_nulls
 from storeloom.plans.parallel import run_together
 from storeloom.schemas import SILVER
 from storeloom.sources import sinks
 from storeloom.sources.files import read_bronze
 
-QUALITY_SECTIONS = {
-    "clients": silver.CLIENT_METRICS,
-    "purchases": silver.PURCHASE_METRICS,
-    "summary": ["total_input_rows", "total_output_rows", "data_quality_score"],
-}
-
-
 def read_silver_table(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     return spark.read.schema(SILVER[table]).parquet(layout.path("silver", table))
 
@@ -29,12 +21,6 @@ def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {t: read_silver_table(spark, layout, t) for t in SILVER}
 
 
-def null_profile(df: DataFrame, name: str) -> DataFrame:
-    """One row with a map from column to null count (one entry per column at most)."""
-    entry = F.struct("column", "null_count")
-    return profile_nulls(df).agg(F.map_from_entries(F.collect_list(entry)).alias(name))
-
-
 def silver_flow(spark: SparkSession, layout: Layout, as_of: date, min_quantity: int = 0,
                 export_csv: bool = True) -> dict[str, DataFrame]:
     """Write silver clients, purchases and ``quality_report``; return the two tables."""
@@ -48,13 +34,9 @@ def silver_flow(spark: SparkSession, layout: Layout, as_of: date, min_quantity:
         sinks.write_parquet(clean, layout.path("silver", "purchases"))
 
     def report() -> None:
-        long = silver.quality_report(
-            silver.quality_clients(bronze["clients"], as_of),
-            silver.quality_purchases(bronze["purchases"], clients, as_of, min_quantity))
-        row = sinks.report_row(long, QUALITY_SECTIONS).select(
-            "*",
-            null_profile(bronze["clients"], "n").scalar().alias("clients_null_values"),
-            null_profile(bronze["purchases"], "n").scalar().alias("purchases_null_values"))
+        row = silver.quality_report(
+            silver.client_quality_row(bronze["clients"], as_of),
+            silver.purchase_quality_row(bronze["purchases"], clients, as_of, min_quantity))
         sinks.write_json_report(row, layout.export("silver", "quality_report", "json"),
                                 stamp="report_timestamp")
 

@@ -42,14 +42,6 @@ def report_row(long: DataFrame, sections: dict[str, Sequence[str]]) -> DataFrame
                       for s, metrics in sections.items()])
 
 
-def sections_of(rows: Sequence[tuple[str, str]]) -> dict[str, list[str]]:
-    """Section to metric names, in the order given."""
-    out: dict[str, list[str]] = {}
-    for section, metric in rows:
-        out.setdefault(section, []).append(metric)
-    return out
-
-
 def write_json_report(row: DataFrame, path: str, stamp: str = "generated_at",
                       at: str | None = None) -> str:
     """A one-row frame as a JSON report with its time and engine.
