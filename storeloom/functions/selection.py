@@ -62,10 +62,11 @@ def values_at_ranks(counts: DataFrame, by: Sequence[str],
 
     # At most ``n_ranks`` rows per group, and groups are a few metrics or
     # labels: bounded, so this side is safe to broadcast. Null-safe keys keep
-    # a NULL group.
+    # a NULL group, and add no filter that would make the two readings of the
+    # counts differ and lose their common shuffle.
     wanted = totals.select(*[F.col(c).alias(f"group_{i}") for i, c in enumerate(by)],
                            F.col("bucket").alias("in_bucket"), "start", "n", "ranks")
-    same = F.col("bucket") == F.col("in_bucket")
+    same = F.col("bucket").eqNullSafe(F.col("in_bucket"))
     for i, c in enumerate(by):
         same = same & F.col(c).eqNullSafe(F.col(f"group_{i}"))
     within = Window.partitionBy(*by, "bucket").orderBy("value")

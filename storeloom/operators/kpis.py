@@ -85,14 +85,19 @@ def client_high_value_flag(kpis: DataFrame, approx: bool = False,
 
 def client_kpis(purchases: DataFrame, clients: DataFrame, as_of: date,
                 approx: bool = False) -> DataFrame:
-    return kpis_from_totals(client_totals(purchases, clients), as_of, approx)
+    spend = purchase_aggregates(purchases).select(
+        cents_to_money(F.col("spent_cents")).alias("total_spent"))
+    return kpis_from_totals(client_totals(purchases, clients), as_of, approx, spend)
 
 
-def kpis_from_totals(totals: DataFrame, as_of: date, approx: bool = False) -> DataFrame:
+def kpis_from_totals(totals: DataFrame, as_of: date, approx: bool = False,
+                     spend: DataFrame | None = None) -> DataFrame:
+    """The KPIs from per-client totals; ``spend`` as in the high-value flag."""
+    source = totals if spend is None else spend
     return (totals
             .transform(lambda t: client_recency_frequency(t, as_of))
             .transform(client_activity_flag)
-            .transform(lambda t: client_high_value_flag(t, approx, spend=totals)))
+            .transform(lambda t: client_high_value_flag(t, approx, spend=source)))
 
 
 def product_totals(sales: DataFrame) -> DataFrame:

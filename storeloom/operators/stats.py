@@ -73,9 +73,14 @@ def order_value_distribution(sales: DataFrame, approx: bool = False) -> DataFram
             .unionByName(_quantiles(sales, {"total": ORDER_VALUE_QUANTILES}, approx)))
 
 
-def mode_of_counts(counts: DataFrame) -> DataFrame:
-    """The most frequent value, the smallest on ties, from counted values."""
-    best = F.max(F.struct(F.col("rows"), (-F.col("value")).alias("low")))
+def mode_of_counts(counts: DataFrame, where: Column | None = None) -> DataFrame:
+    """The most frequent value, the smallest on ties, from counted values.
+
+    ``where`` picks counts inside the aggregation: a filter would move below
+    the counting and make Spark count a second time.
+    """
+    row = F.struct(F.col("rows"), (-F.col("value")).alias("low"))
+    best = F.max(row if where is None else F.when(where, row))
     return counts.agg((-best["low"]).alias("mode"))
 
 
@@ -144,7 +149,7 @@ def statistical_distributions(fact: DataFrame, approx: bool = False) -> DataFram
         counts = value_counts(_measures(fact, list(wanted)), "value", ["measure"])
         found = quantiles_of_counts(counts, probabilities, ["measure"])
         quantiles = _quantile_rows(found, wanted, probabilities)
-        mode = mode_of_counts(counts.where(F.col("measure") == "quantity"))
+        mode = mode_of_counts(counts, F.col("measure") == "quantity")
     return totals.unionByName(quantiles).unionByName(_long("quantity_distribution", mode))
 
 

@@ -42,7 +42,7 @@ def build(clients: DataFrame, purchases: DataFrame, as_of: date, approx: bool =
     totals = kpis.client_totals(purchases, clients)
     return {
         "fact_sales": fact,
-        "client_kpis": kpis.kpis_from_totals(totals, as_of, approx),
+        "client_kpis": kpis.client_kpis(purchases, clients, as_of, approx),
         "product_analytics": kpis.product_analytics(fact),
         "country_analytics": kpis.country_analytics(totals),
         "daily_sales": temporal.daily_sales(purchases),
@@ -90,18 +90,22 @@ def gold_flow(spark: SparkSession, layout: Layout, as_of: date, approx: bool = F
         sinks.write_json_report(sinks.report_row(long, STATISTICS_SECTIONS),
                                 layout.export("gold", "statistical_distributions", "json"))
 
-    run_together(spark, [
-        *[lambda t=t, d=d: sinks.write_parquet(d, layout.path("gold", t))
-          for t, d in derived.items()],
-        statistics,
-    ])
+    def export(table: str) -> None:
+        sinks.write_csv(spark.read.parquet(layout.path("gold", table)),
+                        layout.export("gold", table, "csv"))
+
+    # The longest jobs first, so that short ones fill the rest.
+    jobs = [statistics]
+    if export_csv:
+        jobs.append(lambda: export("fact_sales"))
+    jobs += [lambda t=t, d=d: sinks.write_parquet(d, layout.path("gold", t))
+             for t, d in derived.items()]
+    run_together(spark, jobs)
 
-    tables = read_gold(spark, layout)
-    summary = stats.gold_summary(tables)
+    summary = stats.gold_summary(read_gold(spark, layout))
     jobs = [lambda: sinks.write_json_report(sinks.report_row(summary, SUMMARY_SECTIONS),
                                             layout.export("gold", "gold_summary", "json"))]
     if export_csv:
-        jobs += [lambda t=t, d=d: sinks.write_csv(d, layout.export("gold", t, "csv"))
-                 for t, d in tables.items()]
+        jobs += [lambda t=t: export(t) for t in derived]
     run_together(spark, jobs)
     return summary

@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 
 def run_together(spark: SparkSession, jobs: Sequence[Callable[[], object]],
-                 at_once: int = 4) -> list[object]:
+                 at_once: int = 8) -> list[object]:
     """Run jobs that do not depend on each other; the first failure is raised.
 
     Small jobs leave executors idle at their end; the next job fills them.

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from storeloom.layout import Layout
 from storeloom.operators.serving import nan_to_null
+from storeloom.plans.parallel import run_together
 from storeloom.schemas import GOLD_TABLES
 from storeloom.sources import sinks
 
@@ -87,10 +88,13 @@ def refresh_serving(spark: SparkSession, layout: Layout,
 
     A table that fails is logged and skipped.
     """
-    loaded = []
-    for table in tables or GOLD_TABLES:
+    def load(table: str) -> tuple[str, int] | None:
         try:
-            loaded.append((table, load_table(spark, layout, table)))
+            return table, load_table(spark, layout, table)
         except Exception:
             log.exception("refresh of %s failed", table)
-    return spark.createDataFrame(loaded, "table string, rows bigint")
+            return None
+
+    wanted = GOLD_TABLES if tables is None else tables
+    loaded = run_together(spark, [lambda t=t: load(t) for t in wanted])
+    return spark.createDataFrame([row for row in loaded if row], "table string, rows bigint")

@@ -40,10 +40,12 @@ def silver_flow(spark: SparkSession, layout: Layout, as_of: date, min_quantity:
         sinks.write_json_report(row, layout.export("silver", "quality_report", "json"),
                                 stamp="report_timestamp")
 
-    run_together(spark, [purchases, report])
-    tables = read_silver(spark, layout)
+    def export(table: str) -> None:
+        sinks.write_csv(read_silver_table(spark, layout, table),
+                        layout.export("silver", table, "csv"))
+
+    exports = [lambda: export("clients")] if export_csv else []
+    run_together(spark, [purchases, report, *exports])
     if export_csv:
-        run_together(spark, [
-            lambda t=t, d=d: sinks.write_csv(d, layout.export("silver", t, "csv"))
-            for t, d in tables.items()])
-    return tables
+        export("purchases")
+    return read_silver(spark, layout)

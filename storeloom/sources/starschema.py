@@ -24,8 +24,19 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumn("subscribed", subscribed)
 
 
+def _spread(df: DataFrame, key: str) -> DataFrame:
+    """Give a small table, whose file is one row group, to all cores.
+
+    A table with at least as many splits as cores, so any large one, is left
+    as it is and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _table(spark, sf_dir, "lineitem")
+    lineitem = _spread(_table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"), "l_orderkey")
     orders = _table(spark, sf_dir, "orders")
     part = _table(spark, sf_dir, "part")
     return (lineitem
