@@ -115,7 +115,7 @@ clean_clients AS (
   FROM client_emails WHERE en = 1),
 typed_purchases AS (
   SELECT TRY_CAST(id_purchase AS BIGINT) AS id_purchase, TRY_CAST(id_client AS BIGINT) AS id_client,
-         trim(product) AS product, TRY_CAST(price AS DECIMAL(18,2)) AS price,
+         product, TRY_CAST(price AS DECIMAL(18,2)) AS price,
          TRY_CAST(TRY_CAST(quantity AS DECIMAL(18,2)) AS INTEGER) AS quantity,
          TRY_CAST(purchase_date AS DATE) AS d, TRY_CAST(total AS DECIMAL(18,2)) AS stored,
          (id_purchase IS NULL OR id_client IS NULL OR product IS NULL OR price IS NULL
@@ -133,7 +133,7 @@ owned_purchases AS (
   FROM tagged_purchases
   WHERE reason IS NULL AND id_client IN (SELECT id_client FROM clean_clients)),
 clean_purchases AS (
-  SELECT id_purchase, id_client, product, price, quantity, purchase_date, total
+  SELECT id_purchase, id_client, trim(product) AS product, price, quantity, purchase_date, total
   FROM (SELECT *, row_number() OVER (
           PARTITION BY id_purchase
           ORDER BY purchase_date, id_client, product, price, quantity, total) AS rn

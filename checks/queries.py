@@ -218,7 +218,6 @@ def dedup_by_key(spark, sf):
              .transform(quality.drop_null_rows)
              .transform(lambda d: quality.parse_dates(d, "purchase_date"))
              .transform(quality.coerce_numeric)
-             .transform(lambda d: quality.normalize_strings(d, trim=["product"]))
              .transform(quality.reject_negative)
              .transform(quality.recalc_total)
              .select(*PURCHASE_COLUMNS))

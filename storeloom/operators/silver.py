@@ -17,6 +17,7 @@ from storeloom.functions.numeric import ratio
 from storeloom.operators import quality as q
 from storeloom.schemas import CLIENT_COLUMNS, PURCHASE_COLUMNS
 
+# Survivors among copies are picked on the texts as they came, before trimming.
 CLIENT_ORDER = ["subscription_date", "email", "name", "country"]
 PURCHASE_ORDER = ["purchase_date", "id_client", "product", "price", "quantity", "total"]
 
@@ -68,7 +69,7 @@ def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> Data
     """
     numbers = ["id_purchase", "id_client", "price", "quantity", "total"]
     read = bronze.select(
-        _null_mask(PURCHASE_COLUMNS).alias("null_mask"), q.trimmed("product").alias("product"),
+        _null_mask(PURCHASE_COLUMNS).alias("null_mask"), "product",
         q.parsed_date("purchase_date").alias("purchase_date"),
         *[q.number(c).alias(c) for c in numbers])
     dated = (F.col("null_mask") == 0) & F.col("purchase_date").isNotNull()
@@ -102,6 +103,7 @@ def clean_purchases(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
             .where(F.col("drop_reason").isNull()).select(*PURCHASE_COLUMNS))
     return (q.orphan_semi_join(kept, valid_ids)
             .transform(lambda d: q.dedup_by_key(d, "id_purchase", PURCHASE_ORDER))
+            .transform(lambda d: q.normalize_strings(d, trim=["product"]))
             .select(*PURCHASE_COLUMNS))
 
 
