@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column, functions as F
 
+# English day names, Monday first.
+DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
+
 
 def week_start(day: Column) -> Column:
     return F.trunc(day, "week")
@@ -12,7 +15,11 @@ def month_start(day: Column) -> Column:
 
 
 def year_month(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM")
+    return F.substring(iso_date(day), 1, 7)
+
+
+def day_name(day: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in DAY_NAMES]), F.weekday(day) + 1)
 
 
 def year_week(day: Column, style: str = "iso") -> Column:
@@ -22,18 +29,20 @@ def year_week(day: Column, style: str = "iso") -> Column:
     labels sort in time order across a year end. ``range`` gives the first
     and last day, ``2024-12-30/2025-01-05``.
     """
-    monday = week_start(day)
     if style == "range":
+        monday = week_start(day)
         return F.concat_ws("/", iso_date(monday), iso_date(F.date_add(monday, 6)))
     if style != "iso":
         raise ValueError(f"unknown week label style {style!r}")
-    year = F.year(F.date_add(monday, 3)).cast("string")
-    week = F.lpad(F.weekofyear(day).cast("string"), 2, "0")
-    return F.concat(year, F.lit("-W"), week)
+    week = F.weekofyear(day)
+    mark = F.when(week < 10, "-W0").otherwise("-W")
+    year = F.extract(F.lit("YEAROFWEEK"), day)
+    return F.concat(year.cast("string"), mark, week.cast("string"))
 
 
 def iso_date(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+    """``yyyy-MM-dd``; the cast is much cheaper than a format pattern."""
+    return day.cast("string")
 
 
 def days_between(later: Column, earlier: Column) -> Column:

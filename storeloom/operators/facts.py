@@ -28,7 +28,7 @@ def calendar_attributes(sales: DataFrame) -> DataFrame:
         "purchase_quarter": F.quarter(day),
         "purchase_week": F.weekofyear(day),
         "purchase_day_of_week": F.weekday(day),
-        "purchase_day_name": F.date_format(day, "EEEE"),
+        "purchase_day_name": cal.day_name(day),
     })
 
 

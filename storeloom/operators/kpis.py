@@ -11,6 +11,7 @@ from storeloom.functions.numeric import (cents, cents_to_money, from_cents, rati
                                          round2)
 from storeloom.functions.selection import exact_median
 from storeloom.operators.facts import CLIENT_ATTRIBUTES
+from storeloom.operators.quality import top_k_per_group
 
 ACTIVE_DAYS = 90
 
@@ -119,17 +120,6 @@ def product_totals(sales: DataFrame) -> DataFrame:
         ratio(quantity, orders).alias("avg_quantity_per_order"))
 
 
-def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: int,
-                    rank_column: str = "rank") -> DataFrame:
-    """The first ``k`` rows of every group; ``order`` should end in a unique column.
-
-    Spark limits each group before the shuffle as well as after it.
-    """
-    window = Window.partitionBy(*group).orderBy(*order)
-    return (df.withColumn(rank_column, F.row_number().over(window))
-            .where(F.col(rank_column) <= k))
-
-
 def product_country_revenue(fact: DataFrame) -> DataFrame:
     return (fact.groupBy("product", "country")
             .agg(F.sum(cents("total")).alias("revenue_cents"))

@@ -74,7 +74,7 @@ def test_dedup_shrinks_a_hot_key_before_the_shuffle(spark):
         F.col("id").cast("string").alias("v"))
     plan = q.dedup_by_key(hot, "k", ["v"])._jdf.queryExecution().executedPlan().toString()
     exchange = plan.index("Exchange hashpartitioning")
-    assert "partial_min" in plan[exchange:]
+    assert "WindowGroupLimit" in plan[exchange:]
     assert q.dedup_by_key(hot, "k", ["v"]).count() == hot.select("k").distinct().count()
 
 
