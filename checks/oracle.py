@@ -31,29 +31,28 @@ def big(x: str) -> str:
 
 # --- the star schema as clients and purchases ------------------------------
 
-CLEAN_INPUT = """
+CLEAN_CLIENTS = """
 clients AS (
   SELECT c_custkey AS id_client, c_name AS name,
          'user' || CAST(c_custkey AS VARCHAR) || '@example.com' AS email,
          DATE '1993-01-01' + CAST(c_custkey % 700 AS INTEGER) AS subscription_date,
          n_name AS country
-  FROM customer JOIN nation ON c_nationkey = n_nationkey),
+  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+LINES = """
 lines AS (
   SELECT l_orderkey, l_partkey, o_custkey, l_orderkey * 10 + l_linenumber AS id_purchase,
          p_type AS product, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
          CAST(l_quantity AS INTEGER) AS quantity, CAST(o_orderdate AS DATE) AS purchase_date
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey)"""
+
+CLEAN_INPUT = f"""{CLEAN_CLIENTS}, {LINES},
 purchases AS (
   SELECT id_purchase, o_custkey AS id_client, product, CAST(price AS DECIMAL(18,2)) AS price,
          quantity, purchase_date, CAST(price * quantity AS DECIMAL(18,2)) AS total
   FROM lines)"""
 
-DIRTY_INPUT = """
-lines AS (
-  SELECT l_orderkey, l_partkey, o_custkey, l_orderkey * 10 + l_linenumber AS id_purchase,
-         p_type AS product, CAST(p_retailprice AS DECIMAL(12,2)) AS price,
-         CAST(l_quantity AS INTEGER) AS quantity, CAST(o_orderdate AS DATE) AS purchase_date
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey),
+DIRTY_INPUT = f"""{LINES},
 customers AS (
   SELECT c_custkey AS k,
          CASE WHEN c_custkey % 11 = 0 THEN '  ' || c_name ELSE c_name END AS name,
@@ -411,7 +410,7 @@ def record(table: str, key: str, columns: str) -> str:
 
 # --- prediction ------------------------------------------------------------
 
-BUYERS = "(SELECT * FROM purchases WHERE id_client % 10 <> 3)"
+# All clients with the cleaned purchases: clients that cleaning rejects have none.
 FEATURES = f"""
 bought AS (
   SELECT id_client, COUNT(id_purchase) AS total_purchases, SUM(total) AS spent,
@@ -419,7 +418,7 @@ bought AS (
          {money('MIN(total)')} AS min_order_value, {money('MAX(total)')} AS max_order_value,
          {big('SUM(quantity)')} AS total_quantity,
          MIN(purchase_date) AS first_purchase_date, MAX(purchase_date) AS last_purchase_date
-  FROM {BUYERS} GROUP BY id_client),
+  FROM clean_purchases GROUP BY id_client),
 joined AS (
   SELECT c.*, b.* EXCLUDE (id_client) FROM clients c LEFT JOIN bought b ON c.id_client = b.id_client),
 features AS (
@@ -456,7 +455,7 @@ segmented AS (
       WHEN churn_probability < 0.3::DOUBLE AND predicted_clv <= t THEN 'Loyal'
       ELSE 'Standard' END AS segment
   FROM banded, (SELECT quantile_cont(predicted_clv, 0.5) AS t FROM banded))"""
-CLEAN_FEATURES = f"WITH {CLEAN_INPUT}, {FEATURES}\n"
+CLEAN_FEATURES = f"WITH {CLEAN_CLIENTS}, {DIRTY_INPUT}, {CLEANING}, {FEATURES}\n"
 CLEAN_SCORES = f"WITH {CLEAN_INPUT}, {MART}, {SCORES}\n"
 
 

@@ -369,9 +369,12 @@ def serving_lookup(spark, sf):
 # --- prediction ------------------------------------------------------------
 
 def _feature_inputs(spark, sf):
-    """All clients; one client in ten bought nothing."""
-    clients, purchases = _clean(spark, sf)
-    return clients, purchases.where(F.col("id_client") % 10 != 3)
+    """All clients with the cleaned purchases.
+
+    Cleaning drops the purchases of the clients it rejects, so some of all
+    clients have none.
+    """
+    return starschema.clients(spark, sf), clean_purchases(spark, sf)
 
 
 def _features(spark, sf):

@@ -14,11 +14,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-_STEPS_PER_OCTAVE = 1024
+_STEPS_PER_OCTAVE = 4096
 
 
 def magnitude_bucket(value: Column) -> Column:
-    """Monotone bucket of a number, about 0.07 % of its magnitude wide.
+    """Monotone bucket of a number, about 0.02 % of its magnitude wide.
 
     A double spans some 2100 octaves, money a few dozen, so the number of
     buckets is bounded whatever the number of rows.

@@ -137,7 +137,8 @@ def reject_negative(df: DataFrame, min_quantity: int = 0) -> DataFrame:
 
 
 def recalculated_total() -> Column:
-    return (F.col("price") * F.col("quantity")).cast(MONEY)
+    """Price times quantity, NULL beyond the range of money."""
+    return (F.col("price") * F.col("quantity")).try_cast(MONEY)
 
 
 def recalc_total(df: DataFrame) -> DataFrame:

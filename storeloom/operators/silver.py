@@ -74,12 +74,12 @@ def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> Data
         *[q.number(c).alias(c) for c in numbers])
     dated = (F.col("null_mask") == 0) & F.col("purchase_date").isNotNull()
     negative = (F.col("price") < 0) | (F.col("quantity") < min_quantity)
+    fresh = q.recalculated_total()
     reason = _first_failure([
         ("null_values", F.col("null_mask") != 0),
         ("invalid_dates", F.col("purchase_date").isNull()),
-        ("invalid_numbers", q.any_null(numbers)),
+        ("invalid_numbers", q.any_null(numbers) | fresh.isNull()),
         ("negative_values", negative)])
-    fresh = q.recalculated_total()
     return read.select(
         "id_purchase", "id_client", "product", "price", "quantity",
         F.least(F.col("purchase_date"), F.lit(as_of)).alias("purchase_date"),

@@ -112,7 +112,8 @@ def test_clean_purchases_and_report(spark, rows):
                     ("4", "1", "p", "1", "0", "2030-01-01", "0"),
                     ("5", "1", None, "1", "1", "bad", "1"),
                     ("6", "1", "p", "1", "1", "bad", "1"),
-                    ("7", "1", "p", "one", "1", "2024-01-01", "1"))
+                    ("7", "1", "p", "one", "1", "2024-01-01", "1"),
+                    ("8", "1", "p", "9999999999999999", "2000", "2024-01-01", "1"))
     ids = spark.createDataFrame([(1,)], "id_client bigint")
     clean = silver.clean_purchases(raw, ids, TODAY)
     assert rows(clean.select("id_purchase", "product", F.col("total").cast("double"),
@@ -120,15 +121,15 @@ def test_clean_purchases_and_report(spark, rows):
         (1, "p", 5.0, date(2024, 1, 1)), (4, "p", 0.0, TODAY)]
     assert silver.clean_purchases(raw, ids, TODAY, min_quantity=1).count() == 1
     assert dict(rows(silver.quality_purchases(raw, ids, TODAY))) == {
-        "initial_rows": 8, "null_values": 1, "invalid_dates": 1, "future_dates_fixed": 1,
-        "invalid_numbers": 1, "negative_values": 1, "total_recalculated": 1,
+        "initial_rows": 9, "null_values": 1, "invalid_dates": 1, "future_dates_fixed": 1,
+        "invalid_numbers": 2, "negative_values": 1, "total_recalculated": 1,
         "orphan_purchases": 1, "duplicates_removed": 1, "final_rows": 2}
     report = silver.quality_report(
         silver.client_quality_row(clients(spark, ("1", "A", "a@b.co", "2024-01-01", "FR")), TODAY),
         silver.purchase_quality_row(raw, ids, TODAY)).first()
     assert report.purchases.null_values_by_column == {"product": 1}
     assert report.clients.null_values_by_column == {}
-    assert report.summary.data_quality_score == 33.33
+    assert report.summary.data_quality_score == 30.0
 
 
 def test_golden_waterfall(spark, golden, rows):
