@@ -61,13 +61,16 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
     registered = checks.queries()
 
-    times: dict[str, float] = {f"job_{k}": v for k, v in layer_times(spark, sf_dir).items()}
+    layers = layer_times(spark, sf_dir)
+    times: dict[str, float] = {f"job_{k}": v for k, v in layers.items()}
     for name in HEADLINE:
         times[name] = timed(lambda: discard(registered[name](spark, sf_dir)))
 
     scale = re.search(r"sf([0-9.]+)/?$", sf_dir)
     print(json.dumps({"metric": "total_wall_time", "value": round(sum(times.values()), 3),
                       "unit": "sec", "queries": times,
+                      "stages_total": round(layers["bronze"] + layers["silver"] + layers["gold"], 3),
+                      "refresh_cycle": round(layers["gold"] + layers["refresh"], 3),
                       "sf": float(scale.group(1)) if scale else sf_dir, "cpus": int(cpus)}))
     spark.stop()
 

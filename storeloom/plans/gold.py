@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from storeloom.layout import Layout
 from storeloom.operators import facts, kpis, stats, temporal
@@ -55,6 +55,27 @@ def read_gold(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(layout.path("gold", t)) for t in GOLD_TABLES}
 
 
+def summary_report(rows: DataFrame, layout: Layout) -> DataFrame:
+    """The summary rows as one nested row: whole numbers, a date range and the paths."""
+    row = sinks.report_row(rows, SUMMARY_SECTIONS)
+
+    def counts(section: str) -> Column:
+        return F.struct(*[F.col(f"{section}.{m}").cast("bigint").alias(m)
+                          for m in SUMMARY_SECTIONS[section]])
+
+    dates = F.struct(F.col("fact_table.date_min").alias("min"),
+                     F.col("fact_table.date_max").alias("max"))
+    files = {t: layout.path("gold", t) for t in GOLD_TABLES}
+    files["statistical_distributions"] = layout.export("gold", "statistical_distributions", "json")
+    return row.select(
+        F.struct(F.col("fact_table.total_rows").cast("bigint").alias("total_rows"),
+                 dates.alias("date_range")).alias("fact_table"),
+        counts("kpis").alias("kpis"),
+        counts("temporal_aggregations").alias("temporal_aggregations"),
+        "top_performers",
+        F.struct(*[F.lit(p).alias(t) for t, p in files.items()]).alias("files_created"))
+
+
 def gold_flow(spark: SparkSession, layout: Layout, as_of: date, approx: bool = False,
               week_style: str = "iso", export_csv: bool = True) -> DataFrame:
     """Write every gold table and report; return the summary rows.
@@ -103,7 +124,7 @@ def gold_flow(spark: SparkSession, layout: Layout, as_of: date, approx: bool = F
     run_together(spark, jobs)
 
     summary = stats.gold_summary(read_gold(spark, layout))
-    jobs = [lambda: sinks.write_json_report(sinks.report_row(summary, SUMMARY_SECTIONS),
+    jobs = [lambda: sinks.write_json_report(summary_report(summary, layout),
                                             layout.export("gold", "gold_summary", "json"))]
     if export_csv:
         jobs += [lambda t=t: export(t) for t in derived]

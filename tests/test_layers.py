@@ -78,7 +78,9 @@ def test_reports(spark, lake):
         spark, layout.export("gold", "statistical_distributions", "json")).first()
     assert stats.overall_metrics.total_orders == quality.purchases.final_rows
     summary = files.scan_json_report(spark, layout.export("gold", "gold_summary", "json")).first()
-    assert summary.kpis.total_clients == str(stats.overall_metrics.total_customers).split(".")[0]
+    assert summary.kpis.total_clients == stats.overall_metrics.total_customers
+    assert summary.fact_table.date_range.max == "2001-08-02"    # capped future dates
+    assert summary.files_created.fact_sales == layout.path("gold", "fact_sales")
     assert os.path.exists(layout.export("gold", "gold_summary", "json"))
 
 
