@@ -15,7 +15,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from checks import queries as checks  # noqa: E402
+from storeloom.checks import queries as checks  # noqa: E402
 from storeloom.layout import Layout  # noqa: E402
 from storeloom.plans.gold import gold_flow  # noqa: E402
 from storeloom.plans.refresh import refresh_serving  # noqa: E402

@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from checks import queries as checks
+from storeloom.checks import queries as checks
 from pyspark.sql import functions as F
 from storeloom.functions import calendar as cal
 from storeloom.operators import facts, kpis, serving, stats, temporal

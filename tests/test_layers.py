@@ -4,7 +4,7 @@ import os
 from datetime import date
 
 import pytest
-from checks import queries as checks
+from storeloom.checks import queries as checks
 from pyspark.sql import functions as F
 from storeloom.layout import Layout
 from storeloom.operators import serving

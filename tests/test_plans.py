@@ -1,7 +1,7 @@
 """Plans stay in the JVM, push filters down and survive a hot key."""
 
 import pytest
-from checks import queries as checks
+from storeloom.checks import queries as checks
 from pyspark.sql import functions as F
 from storeloom.operators import facts, kpis, temporal
 
