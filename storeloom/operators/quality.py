@@ -18,6 +18,10 @@ EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\n?\z"
 BLANKS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
           "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
+# Texts of a source file that stand for a missing value.
+NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
+               "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
 NUMERIC_TYPES = {"id_purchase": "bigint", "id_client": "bigint", "price": MONEY,
                  "quantity": "int", "total": MONEY}
 
@@ -75,6 +79,14 @@ def top_k_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]
             .where(F.col(rank_column) <= k))
 
 
+def tokens_to_null(df: DataFrame, tokens: Sequence[str] = tuple(NULL_TOKENS)) -> DataFrame:
+    """Texts that stand for a missing value become NULL in all text columns."""
+    if not tokens:
+        return df
+    texts = [n for n, t in df.dtypes if t == "string"]
+    return df.withColumns({n: F.when(~F.col(n).isin(*tokens), F.col(n)) for n in texts})
+
+
 def profile_nulls(df: DataFrame) -> DataFrame:
     """``(column, null_count)`` of the columns that have nulls, in one pass."""
     counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
 from storeloom.layout import Layout
 from storeloom.operators import silver
+from storeloom.operators.quality import NULL_TOKENS, tokens_to_null
 from storeloom.plans.parallel import run_together
 from storeloom.schemas import SILVER
 from storeloom.sources import sinks
@@ -22,9 +24,13 @@ def read_silver(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def silver_flow(spark: SparkSession, layout: Layout, as_of: date, min_quantity: int = 0,
-                export_csv: bool = True) -> dict[str, DataFrame]:
-    """Write silver clients, purchases and ``quality_report``; return the two tables."""
-    bronze = read_bronze(spark, layout)
+                export_csv: bool = True,
+                null_tokens: Sequence[str] = tuple(NULL_TOKENS)) -> dict[str, DataFrame]:
+    """Write silver clients, purchases and ``quality_report``; return the two tables.
+
+    Bronze keeps texts such as ``N/A``; they count as missing from here on.
+    """
+    bronze = {t: tokens_to_null(df, null_tokens) for t, df in read_bronze(spark, layout).items()}
     sinks.write_parquet(silver.clean_clients(bronze["clients"], as_of),
                         layout.path("silver", "clients"))
     clients = read_silver_table(spark, layout, "clients")

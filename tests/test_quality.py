@@ -61,6 +61,12 @@ def test_trim_takes_all_blanks(spark, rows):
     assert rows(q.normalize_strings(df, lower=["name"])) == [("a b",)]
 
 
+def test_tokens_for_missing_values(spark, rows):
+    df = spark.createDataFrame([("NA", 1), ("", 2), ("n/a ", 3), (None, 4), ("Nan", 5)], "t string, i int")
+    assert rows(q.tokens_to_null(df)) == [("Nan", 5), ("n/a ", 3), (None, 1), (None, 2), (None, 4)]
+    assert q.tokens_to_null(df, ()) is df
+
+
 def test_dedup_does_not_depend_on_input_order(spark, rows):
     data = [(1, "b"), (1, "a"), (2, "c"), (1, "a")]
     for order in (data, data[::-1]):
