@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import fingerprints, topk, urlfilter
-from storeloom.llm.common import table
+from storeloom.llm import bpe, fingerprints, packing, tokenstore, topk, urlfilter
+from storeloom.llm.common import shared_folder, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
              ("block", "net", "/es/"), ("block", "net", "/fr/")]
@@ -27,8 +29,31 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks)
+    return bpe.decode(encoded, ranks).select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"),
+                         F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = tokenstore.write(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                             f"{shared_folder(spark)}/tokens-{uuid.uuid4().hex}")
+    read = store.read_all().select("part", "shard", "doc_id", "at", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return read.join(store.starts(), ["part", "shard"]).select(
+        "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter)}
+    return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe,
+                                   op7_packing, op8_token_store)}
 
 
 SQL_TOPK = """

@@ -5,22 +5,19 @@ has a key with that prefix, so a rule's host is an interval of keys, and a
 rule's path is an interval of the paths on that host. Two sorted sweeps merge
 the pages into these nested intervals: the first finds the innermost host that
 has rules, the second the innermost path rule of that host and of each host
-around it. A sweep is one sort by range; opening an interval puts its rule on
-top of the stack and closing it uncovers the rule around it, which the
-intervals know beforehand, so a row needs only the last event before it.
+around it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from storeloom.llm.common import written
+from storeloom.llm.intervals import END, sweep
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Sorts after every continuation of a prefix, as no UTF-8 text holds it.
-END = F.unhex(F.lit("FF"))
 
 
 def url_parts(url: Column) -> tuple[Column, Column]:
@@ -47,50 +44,17 @@ def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, str]]) -> Da
     return spark.createDataFrame(list(rules), "verdict string, host string, path string")
 
 
-def sweep(points: DataFrame, intervals: DataFrame, name: str) -> DataFrame:
-    """``points`` with ``top``: the innermost interval around ``key``, or null.
-
-    ``points``: ``key`` binary, ``spread`` (splits rows of one key over tasks)
-    and other columns. ``intervals``: ``low``, ``high`` binary, ``top`` and
-    ``around``, the interval right around it or null; any two are nested or
-    apart. The event table is written once, as its partition numbers must not
-    change between the two reads.
-    """
-    events = intervals.select(F.explode(F.array(
-        F.struct(F.col("low").alias("key"), F.struct("top").alias("event")),
-        F.struct(F.col("high").alias("key"), F.struct(F.col("around").alias("top")).alias("event")),
-    )).alias("e")).select("e.*")
-    merged = (points.unionByName(events, allowMissingColumns=True)
-              .withColumn("is_point", F.col("event").isNull())
-              .repartitionByRange("key", "is_point", "spread")
-              .withColumn("part", F.spark_partition_id()))
-    merged = written(merged, name)
-    # One row per range partition: the last event before it.
-    last = (merged.filter(~F.col("is_point")).groupBy("part")
-            .agg(F.max_by("event", "key").alias("event")))
-    parts = merged.select("part").distinct().join(last, "part", "left")
-    before = parts.select("part", F.last("event", ignorenulls=True).over(
-        Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)).alias("carried"))
-    seen = F.last("event", ignorenulls=True).over(
-        Window.partitionBy("part").orderBy("key", "is_point")
-        .rowsBetween(Window.unboundedPreceding, 0))
-    return (merged.withColumn("seen", seen).filter("is_point").join(F.broadcast(before), "part")
-            .withColumn("top", F.coalesce("seen", "carried")["top"])
-            .drop("seen", "carried", "event", "is_point", "part"))
-
-
 def _host_intervals(hosts: DataFrame) -> DataFrame:
-    """Intervals of the hosts that have rules, with the chain of those around each."""
+    """Intervals of the hosts that have rules, each with the chain of such hosts down to it."""
     size = F.size(_labels(F.col("host")))
     suffixes = hosts.select("host", F.explode(F.sequence(F.lit(1), size)).alias("i")).select(
         "host", F.array_join(F.slice(_labels(F.col("host")), F.col("i"), size), ".").alias("outer"))
     chains = (suffixes.join(hosts.select(F.col("host").alias("outer")), "outer")
               .groupBy("host").agg(F.collect_list("outer").alias("chain")))
-    around = F.element_at(F.array_sort(F.filter("chain", lambda h: h != F.col("host")),
-                                       lambda a, b: F.length(b) - F.length(a)), 1)
+    around = F.filter("chain", lambda h: h != F.col("host"))
     key = _key(F.col("host"))
-    return chains.select(key.alias("low"), F.concat(key, END).alias("high"), F.col("host").alias("top"),
-                         F.when(F.size("chain") > 1, around).alias("around"), "chain")
+    return chains.select(key.alias("low"), F.concat(key, F.lit(END)).alias("high"), F.col("chain").alias("top"),
+                         F.when(F.size(around) > 0, around).alias("around"))
 
 
 def _path_key(host: Column, path: Column) -> Column:
@@ -102,12 +66,14 @@ def _path_intervals(rules: DataFrame) -> DataFrame:
     shorter = (rules.filter(F.length("path") > 0)
                .select("host", "path", F.explode(F.sequence(F.lit(0), F.length("path") - 1)).alias("i"))
                .select("host", "path", F.substr("path", F.lit(1), F.col("i")).alias("outer"))
-               .join(rules.select("host", F.col("path").alias("outer")), ["host", "outer"])
-               .groupBy("host", "path").agg(F.max_by("outer", F.length("outer")).alias("outer")))
+               .join(rules.select("host", F.col("path").alias("outer"), F.col("verdict").alias("found")),
+                     ["host", "outer"])
+               .groupBy("host", "path")
+               .agg(F.max_by(F.struct(F.col("outer").alias("path"), F.col("found").alias("verdict")),
+                             F.length("outer")).alias("around")))
     key = _path_key(F.col("host"), F.col("path"))
     return rules.join(shorter, ["host", "path"], "left").select(
-        key.alias("low"), F.concat(key, END).alias("high"), F.col("path").alias("top"),
-        F.col("outer").alias("around"))
+        key.alias("low"), F.concat(key, F.lit(END)).alias("high"), F.struct("path", "verdict").alias("top"), "around")
 
 
 def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str = "url") -> DataFrame:
@@ -130,19 +96,15 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", url: str =
     rows = rows.withColumn("row", F.monotonically_increasing_id()).withColumn(
         "key", _key(F.col("page_host"))).withColumn("spread", F.xxhash64("page_path", "row"))
     hosts = _host_intervals(rules.select("host").distinct())
-    inner = written(sweep(rows, hosts.drop("chain"), "hosts").drop("key", "spread"), "pages")
-
-    asked = inner.select("row", "page_path", F.col("top").alias("host")).join(
-        hosts.select(F.col("top").alias("host"), "chain"), "host").select(
-        "row", "page_path", F.explode("chain").alias("host"))
-    points = asked.withColumn("key", _path_key(F.col("host"), F.col("page_path"))).withColumn(
+    inner = written(sweep(rows, hosts, "hosts").drop("key", "spread"), "pages")
+    points = inner.select("row", "page_path", F.explode("top").alias("host"))
+    points = points.withColumn("key", _path_key(F.col("host"), F.col("page_path"))).withColumn(
         "spread", F.xxhash64("row"))
     fits = sweep(points, _path_intervals(rules), "paths").filter("top IS NOT NULL")
-    rank = F.struct(F.length("host") + F.length("top"), F.length("host"))
-    best = (fits.groupBy("row").agg(F.max_by(F.struct("host", F.col("top").alias("path")), rank)
+    rank = F.struct(F.length("host") + F.length("top.path"), F.length("host"))
+    best = (fits.groupBy("row").agg(F.max_by(F.struct(F.concat("host", "top.path").alias("rule"),
+                                                      F.col("top.verdict").alias("found")), rank)
                                     .alias("best")).select("row", "best.*"))
-    best = best.join(rules, ["host", "path"]).select(
-        "row", F.concat("host", "path").alias("rule"), F.col("verdict").alias("found"))
     kept = [F.col("page")[c].alias(c) for c in others]
     return inner.join(best, "row", "left").select(
         *kept, F.col("page_host").alias("host"), F.col("page_path").alias("path"), "rule",
