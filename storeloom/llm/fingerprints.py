@@ -140,7 +140,8 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     its own next one. An empty table gives an empty result; other columns are
     ignored.
 
-    The texts are shuffled once, by id, and the halves that move once more.
+    The texts are shuffled once, by id; the halves that move and one vector per
+    document are shuffled too.
     """
     order = _order(docs)
     rows = _numbered(_rows(docs)).alias("d").join(
@@ -154,7 +155,7 @@ def compare_edited(docs: DataFrame) -> DataFrame:
                                  & _same_copy("r.copy", "m.copy"))
             .select("r.*", "m.moved").withColumn("edited", F.concat(kept, F.col("moved")))
             .withColumn("edited_sha256", F.sha2("edited", 256)))
-    by = ["k", "copy", "doc_id", "n", "edited_sha256", "prev_k", "prev_copy"]
+    by = ["k", "copy", "doc_id", "n", "edited_sha256"]
     sides = both.select(*by, F.explode(F.array(
         F.struct(F.lit(0).alias("side"), F.col("text").alias("body")),
         F.struct(F.lit(1).alias("side"), F.col("edited").alias("body")))).alias("s"))
@@ -163,9 +164,10 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     paired = own.groupBy(*by).agg(*[
         F.first(F.when(F.col("side") == side, F.col("vector")), ignorenulls=True).alias(name)
         for side, name in ((0, "vector"), (1, "edited_vector"))])
-    paired = written(paired, "vectors")
-    following = paired.select(F.col("prev_k").alias("k"), F.col("prev_copy").alias("copy"),
-                              F.col("vector").alias("next_vector"))
+    # Summing the texts once more is cheaper than moving both vectors of every row.
+    again = rows.select("prev_k", "prev_copy", "k", "copy", F.explode(F.split("text", CUT, -1)).alias("piece"))
+    following = vectors(again, ["k", "copy", "prev_k", "prev_copy"]).select(
+        F.col("prev_k").alias("k"), F.col("prev_copy").alias("copy"), F.col("vector").alias("next_vector"))
     return (paired.alias("p").join(following.alias("f"), (F.col("p.k") == F.col("f.k"))
                                    & _same_copy("p.copy", "f.copy"))
             .select("p.doc_id", F.col("p.n").alias("n_chars"), "p.edited_sha256",
