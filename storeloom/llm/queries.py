@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import bpe, fingerprints, neardup, packing, tokenstore, topk, urlfilter
+from storeloom.llm import bpe, fingerprints, neardup, packing, quality, tokenstore, topk, urlfilter
 from storeloom.llm.common import shared_folder, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -51,13 +51,18 @@ def op8_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", (F.col("base") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "bits", "bound", "rejected")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe,
-                                   op7_packing, op8_token_store, op10_minhash)}
+                                   op7_packing, op8_token_store, op9_quality, op10_minhash)}
 
 
 SQL_TOPK = """
