@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from storeloom.llm.buckets import bucket_links
 from storeloom.llm.common import text_of, written
 from storeloom.llm.components import components
 
@@ -31,7 +32,7 @@ HASHES, ROWS = 192, 6
 #: Signature bits that may differ: over six standard deviations beyond the mean at 0.85.
 BITS_APART = 38
 #: Words a worker remembers the hash of.
-WORDS = 1 << 20
+WORDS = 1 << 17
 
 
 class _WordHash(dict):
@@ -183,27 +184,8 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> Dat
     """Confirmed links ``(a, b)`` between representatives."""
     member = classes.select(F.explode("bands").alias("key"), F.struct(
         F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits").alias("m"))
-    heads = (member.groupBy("key").agg(F.min_by("m", "m.id").alias("h"), F.count(F.lit(1)).alias("size"))
-             .filter("size > 1"))
-    likely = _sizes_allow("h", "m", percent) & _close("h", "m")
-    crowd = written(member.join(heads.select("key", "h"), "key").select("key", "m", "h"), "crowd")
-    first = crowd.filter((F.col("m.id") != F.col("h.id")) & likely).select(
-        F.col("h.id").alias("a"), F.col("m.id").alias("b")).distinct()
-    links = _confirmed(docs, classes, first, percent, width, "first")
-
-    grouped = components(links)
-    apart = crowd.select("key", "m", F.col("m.id").alias("id")).join(grouped, "id", "left").select(
-        "key", "m", F.coalesce("component", "id").alias("component"))
-    # Buckets whose members are still in several components.
-    mixed = (apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .filter("low < high").select("key"))
-    apart = written(apart.join(mixed, "key", "left_semi"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    rest = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.component") < F.col("y.component"))
-                  & _sizes_allow("x.m", "y.m", percent) & _close("x.m", "y.m"))
-    rest = rest.select(F.least("x.m.id", "y.m.id").alias("a"), F.greatest("x.m.id", "y.m.id").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti")
-    return links.unionByName(_confirmed(docs, classes, rest, percent, width, "rest"))
+    return bucket_links(member, lambda a, b: _sizes_allow(a, b, percent) & _close(a, b),
+                        lambda pairs, name: _confirmed(docs, classes, pairs, percent, width, name), "near")
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
@@ -214,7 +196,6 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
 def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, width: int,
                name: str) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    pairs = written(pairs, f"{name}-pairs")
     wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     # An id may have rows with other texts; only the class's own set counts.
     sets = _sets(docs, wanted, width).join(classes.select("doc_id", "set_a", "set_b"),

@@ -22,10 +22,10 @@ OTHER, LETTER, NUMBER, SPACE = range(4)
 ENDINGS = ["s", "t", "re", "ve", "m", "ll", "d"]
 #: Pre-tokens longer than this are looked up by their text, shorter ones by a hash.
 HASHED = 64
-#: Characters per step; bounds the arrays of a step to some 200 MB.
-STEP = 1 << 21
+#: Characters per step; bounds the arrays of a step to some 100 MB.
+STEP = 1 << 20
 #: Distinct pre-tokens kept by a worker.
-KEPT = 1 << 21
+KEPT = 1 << 20
 
 
 @lru_cache(1)

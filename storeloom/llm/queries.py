@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import bpe, fingerprints, neardup, packing, quality, tokenstore, topk, urlfilter
+from storeloom.llm import bpe, fingerprints, lines, neardup, packing, quality, tokenstore, topk, urlfilter
 from storeloom.llm.common import shared_folder, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -37,6 +37,11 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.repeated_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"),
@@ -61,7 +66,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe,
+    return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe, op5_line_dedup,
                                    op7_packing, op8_token_store, op9_quality, op10_minhash)}
 
 
