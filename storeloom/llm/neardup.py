@@ -18,7 +18,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
@@ -207,3 +207,18 @@ def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: i
     shared = F.size(F.array_intersect("x", "y"))
     linked = both.filter(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent)
     return written(linked.select("a", "b"), f"{name}-links")
+
+
+def keep_representatives(docs: DataFrame, percent: int = 80, width: int = SHINGLE) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates: that of the smallest id.
+
+    Of rows of one id the one with the smallest text hash stays; rows with a
+    null id stay.
+    """
+    kept = near_duplicates(docs, percent, width).filter("kept AND doc_id IS NOT NULL").select(
+        F.col("doc_id").alias("_kept")).distinct()
+    rows = docs.withColumn("_id", F.col("doc_id").cast("long"))
+    chosen = rows.join(kept, F.col("_id") == F.col("_kept"), "left_semi")
+    place = Window.partitionBy("_id").orderBy(F.xxhash64(text_of()))
+    chosen = chosen.withColumn("_place", F.row_number().over(place)).filter("_place = 1")
+    return chosen.select(*docs.columns).unionByName(docs.filter("doc_id IS NULL"))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import bpe, fingerprints, lines, neardup, packing, quality, tokenstore, topk, urlfilter
+from storeloom.llm import bpe, fingerprints, lines, neardup, packing, quality, repeats, tokenstore, topk, urlfilter
 from storeloom.llm.common import shared_folder, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -42,6 +42,13 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed").alias("n_removed"), "removed")
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.shiftright(F.size("spans"), 1).cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return packed.select("doc_id", "start", F.floor(F.octet_length("ids") / 4).alias("length"),
@@ -67,7 +74,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe, op5_line_dedup,
-                                   op7_packing, op8_token_store, op9_quality, op10_minhash)}
+                                   op6_suffix_dedup, op7_packing, op8_token_store, op9_quality, op10_minhash)}
 
 
 SQL_TOPK = """
