@@ -211,27 +211,27 @@ def test_classifier_keeps_good_and_rejects_bad(spark):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     # Held out: trained on even ids, judged on odd ones.
     judged = quality.classify(docs, labels.filter("doc_id % 2 = 0"))
-    held = judged.filter("doc_id % 2 = 1").join(labels, "doc_id").groupBy("quality").agg(
-        {"*": "count"}).collect()
     rows = judged.filter("doc_id % 2 = 1").join(labels, "doc_id").collect()
-    assert held
     good = [r.rejected for r in rows if r.quality == 1 and r.toxic == 0]
     bad = [r.rejected for r in rows if r.quality == 0]
-    assert np.mean(good) < 0.06 and np.mean(bad) > 0.75
+    assert len(good) > 100 and np.mean(good) < 0.04 and len(bad) > 15 and np.mean(bad) > 0.75
 
 
 def test_classifier_edges(spark):
     docs = spark.createDataFrame([(i, t, lang, 0.5) for (i, t, _), lang in zip(ODD, ["en", None, "en", "xx"] * 2)],
                                  "doc_id long, text string, lang string, bits double")
-    labels = spark.createDataFrame([(5, 1, 0), (5, 1, 0), (3, None, None), (None, 1, 0), (99, 1, 0), (7, 1, 1)],
-                                   "doc_id long, quality int, toxic int")
+    marks = [(5, 1, 0), (5, 1, 0), (3, None, None), (None, 1, 0), (99, 1, 0), (7, 1, 1)]
+    # Plain texts to learn from.
+    plain = [(1000 + i, f"text here is number {i}", "en", 0.5) for i in range(40)]
+    docs = docs.unionByName(spark.createDataFrame(plain, docs.schema))
+    labels = spark.createDataFrame(marks + [(i, 1, 0) for i, *_ in plain], "doc_id long, quality int, toxic int")
     got = quality.classify(docs, labels).collect()
-    assert len(got) == len(ODD)
-    assert all(not r.rejected for r in got if r.doc_id in (1, 2)) and any(r.rejected for r in got)
+    assert len(got) == len(ODD) + len(plain)
+    assert all(not r.rejected for r in got if r.doc_id in (1, 2)) and next(r.rejected for r in got if r.doc_id == 9)
     assert all(not r.rejected for r in quality.classify(docs, labels.filter("false")).collect())
     assert quality.classify(docs.filter("false"), labels).count() == 0
     kept = quality.keep_good(docs, labels).collect()
-    assert len(kept) == sum(not r.rejected for r in got) and kept[0].bits == 0.5
+    assert len(kept) == sum(not r.rejected for r in got) and {r.bits for r in kept} == {0.5}
 
 
 def test_pipeline(spark, sf):
