@@ -72,32 +72,50 @@ raw_clients AS (
   UNION ALL
   SELECT CAST(k AS VARCHAR), name, email, subscription_date, country FROM customers
   WHERE k % 61 = 1),
+priced AS (
+  SELECT *, CAST(price + CASE WHEN l_orderkey % 61 = 7 THEN 0.005 ELSE 0 END AS DECIMAL(13,3)) AS exact,
+         CAST(purchase_date AS VARCHAR) AS day
+  FROM lines),
 raw_purchases AS (
-  SELECT CAST(id_purchase AS VARCHAR) AS id_purchase,
-         CAST(CASE WHEN l_orderkey % 67 = 9 THEN -1 - o_custkey ELSE o_custkey END AS VARCHAR)
-           AS id_client,
+  SELECT CAST(id_purchase AS VARCHAR) || CASE WHEN l_orderkey % 31 = 5 THEN '.0' ELSE '' END AS id_purchase,
+         CASE WHEN l_orderkey % 67 = 9 THEN CAST(-1 - o_custkey AS VARCHAR)
+              WHEN l_orderkey % 29 = 4 THEN CAST(o_custkey AS VARCHAR) || '.0'
+              ELSE CAST(o_custkey AS VARCHAR) END AS id_client,
          CASE WHEN l_orderkey % 101 = 3 THEN NULL
               WHEN l_partkey % 17 = 0 THEN ' ' || product ELSE product END AS product,
-         CAST(price AS VARCHAR) AS price,
+         CAST(exact AS VARCHAR) AS price,
          CAST(CASE WHEN l_orderkey % 59 = 8 THEN -1 WHEN l_orderkey % 47 = 11 THEN 0
-                   ELSE quantity END AS VARCHAR) AS quantity,
+                   WHEN l_orderkey % 211 = 12 THEN 3000000000 ELSE quantity END AS VARCHAR) AS quantity,
          CASE WHEN l_orderkey % 73 = 1 THEN 'bad' WHEN l_orderkey % 43 = 2 THEN '2099-12-31'
-              ELSE CAST(purchase_date AS VARCHAR) END AS purchase_date,
-         CAST(CAST(price * quantity + CASE WHEN l_orderkey % 53 = 6 THEN 1 ELSE 0 END
+              WHEN l_orderkey % 83 = 4 THEN substr(day, 1, 7) WHEN l_orderkey % 89 = 6 THEN substr(day, 1, 4)
+              WHEN l_orderkey % 97 = 8 THEN day || ' garbage' ELSE day END AS purchase_date,
+         CAST(CAST(exact * quantity + CASE WHEN l_orderkey % 53 = 6 THEN 1 ELSE 0 END
               AS DECIMAL(18,2)) AS VARCHAR) AS total
-  FROM lines)"""
+  FROM priced)"""
 
 EMAIL = r"'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\n?\z'"
 
+
+
+def whole(x: str) -> str:
+    """A whole number from text; digits after the point are cut."""
+    return f"CAST(trunc(TRY_CAST({x} AS DECIMAL(28,6))) AS BIGINT)"
+
+
+def day(x: str) -> str:
+    """A date from text that is ``yyyy-MM-dd`` and nothing else."""
+    return f"CASE WHEN regexp_full_match(trim({x}), '\\d{{4}}-\\d{{2}}-\\d{{2}}') THEN TRY_CAST(trim({x}) AS DATE) END"
+
+
 CLEANING = f"""
 tagged_clients AS (
-  SELECT TRY_CAST(id_client AS BIGINT) AS id_client, name, email, country,
-         TRY_CAST(subscription_date AS DATE) AS d,
+  SELECT {whole('id_client')} AS id_client, name, email, country,
+         {day('subscription_date')} AS d,
          CASE WHEN id_client IS NULL OR name IS NULL OR email IS NULL
                 OR subscription_date IS NULL OR country IS NULL THEN 'null_values'
-              WHEN TRY_CAST(subscription_date AS DATE) IS NULL THEN 'invalid_dates'
+              WHEN {day('subscription_date')} IS NULL THEN 'invalid_dates'
               WHEN NOT regexp_matches(email, {EMAIL}) THEN 'invalid_emails'
-              WHEN TRY_CAST(id_client AS BIGINT) IS NULL THEN 'invalid_numbers' END AS reason
+              WHEN {whole('id_client')} IS NULL THEN 'invalid_numbers' END AS reason
   FROM raw_clients),
 client_ids AS (
   SELECT *, row_number() OVER (PARTITION BY id_client
@@ -113,19 +131,19 @@ clean_clients AS (
          trim(country) AS country
   FROM client_emails WHERE en = 1),
 typed_purchases AS (
-  SELECT TRY_CAST(id_purchase AS BIGINT) AS id_purchase, TRY_CAST(id_client AS BIGINT) AS id_client,
-         product, TRY_CAST(price AS DECIMAL(18,2)) AS price,
-         TRY_CAST(TRY_CAST(quantity AS DECIMAL(18,2)) AS INTEGER) AS quantity,
-         TRY_CAST(purchase_date AS DATE) AS d, TRY_CAST(total AS DECIMAL(18,2)) AS stored,
+  SELECT {whole('id_purchase')} AS id_purchase, {whole('id_client')} AS id_client,
+         product, TRY_CAST(price AS DECIMAL(18,6)) AS exact, {whole('quantity')} AS quantity,
+         {day('purchase_date')} AS d, TRY_CAST(total AS DECIMAL(18,2)) AS stored,
          (id_purchase IS NULL OR id_client IS NULL OR product IS NULL OR price IS NULL
           OR quantity IS NULL OR purchase_date IS NULL OR total IS NULL) AS has_null
   FROM raw_purchases),
 tagged_purchases AS (
-  SELECT *, CAST(price * quantity AS DECIMAL(18,2)) AS total,
+  SELECT *, CAST(exact AS DECIMAL(18,2)) AS price,
+         CAST(exact * CAST(quantity AS DECIMAL(19,0)) AS DECIMAL(18,2)) AS total,
          CASE WHEN has_null THEN 'null_values' WHEN d IS NULL THEN 'invalid_dates'
-              WHEN id_purchase IS NULL OR id_client IS NULL OR price IS NULL
+              WHEN id_purchase IS NULL OR id_client IS NULL OR exact IS NULL
                 OR quantity IS NULL OR stored IS NULL THEN 'invalid_numbers'
-              WHEN price < 0 OR quantity < 0 THEN 'negative_values' END AS reason
+              WHEN exact < 0 OR quantity < 0 THEN 'negative_values' END AS reason
   FROM typed_purchases),
 owned_purchases AS (
   SELECT id_purchase, id_client, product, price, quantity, LEAST(d, {AS_OF}) AS purchase_date, total
@@ -394,9 +412,10 @@ NO_NULLS = ("FROM raw_purchases WHERE id_purchase IS NOT NULL AND id_client IS N
             "AND product IS NOT NULL AND price IS NOT NULL AND quantity IS NOT NULL "
             "AND purchase_date IS NOT NULL AND total IS NOT NULL")
 RAW_PURCHASE = "id_purchase, id_client, product, price, quantity, purchase_date, total"
+OWNED = f"id_purchase, {whole('id_client')} AS id_client, product, price, quantity, purchase_date, total"
 RAW_CLIENT = "id_client, name, email, subscription_date, country"
-NUMBERS = ("TRY_CAST(id_purchase AS BIGINT) AS id_purchase, TRY_CAST(id_client AS BIGINT) AS id_client, "
-           "product, CAST(TRY_CAST(price AS DECIMAL(18,2)) AS DOUBLE) AS price, "
+NUMBERS = (f"{whole('id_purchase')} AS id_purchase, {whole('id_client')} AS id_client, "
+           "product, CAST(TRY_CAST(price AS DECIMAL(18,6)) AS DOUBLE) AS price, "
            "CAST(quantity AS BIGINT) AS quantity, purchase_date, "
            "CAST(TRY_CAST(total AS DECIMAL(18,2)) AS DOUBLE) AS total")
 COUNTED = ", ".join(f"COUNT(*) - COUNT({c}) AS {c}" for c in RAW_PURCHASE.split(", "))
@@ -485,10 +504,11 @@ def oracle_sql() -> dict[str, str]:
         "write_parquet": CLEAN + f"SELECT {FACT} FROM fact",
         "write_json_report": DIRTY + QUALITY_REPORT,
         "refresh_serving": CLEAN + " UNION ALL ".join(
-            f"SELECT '{t}' AS \"table\", COUNT(*) AS rows FROM {s}" for t, s in [
+            f"SELECT '{t}' AS \"table\", 'loaded' AS status, COUNT(*) AS rows FROM {s}" for t, s in [
                 ("fact_sales", "fact"), ("client_kpis", "kpis"), ("product_analytics", "products"),
                 ("country_analytics", "countries"), ("daily_sales", "daily"),
-                ("weekly_sales", "weekly"), ("monthly_sales", "monthly")]),
+                ("weekly_sales", "weekly"), ("monthly_sales", "monthly")])
+            + " UNION ALL SELECT 'no_such_table', 'failed', NULL",
         "nan_to_null": "SELECT event_id, CASE WHEN event_id % 4 IN (0, 1, 2) THEN NULL ELSE value END"
                        " AS value FROM events",
         "run_pipeline": CLEANED_MART + SUMMARY,
@@ -502,12 +522,11 @@ def oracle_sql() -> dict[str, str]:
               (UNPIVOT (SELECT {COUNTED} FROM raw_purchases)
                ON COLUMNS(*) INTO NAME "column" VALUE null_count)) WHERE null_count > 0""",
         "drop_null_rows": DIRTY + f"SELECT {RAW_PURCHASE} {NO_NULLS}",
-        "parse_dates": DIRTY + "SELECT id_purchase, CAST(TRY_CAST(purchase_date AS DATE) AS VARCHAR)"
-                       " AS purchase_date FROM raw_purchases"
-                       " WHERE TRY_CAST(purchase_date AS DATE) IS NOT NULL",
-        "cap_future_dates": DIRTY + f"SELECT id_purchase, CAST(LEAST(TRY_CAST(purchase_date AS DATE),"
+        "parse_dates": DIRTY + f"SELECT id_purchase, CAST({day('purchase_date')} AS VARCHAR)"
+                       f" AS purchase_date FROM raw_purchases WHERE {day('purchase_date')} IS NOT NULL",
+        "cap_future_dates": DIRTY + f"SELECT id_purchase, CAST(LEAST({day('purchase_date')},"
                             f" {AS_OF}) AS VARCHAR) AS purchase_date FROM raw_purchases"
-                            " WHERE TRY_CAST(purchase_date AS DATE) IS NOT NULL",
+                            f" WHERE {day('purchase_date')} IS NOT NULL",
         "format_dates": CLEAN + "SELECT id_client, strftime(subscription_date, '%Y-%m-%d')"
                         " AS subscription_date FROM clients",
         "validate_email": DIRTY + f"SELECT {RAW_CLIENT} FROM raw_clients"
@@ -515,23 +534,23 @@ def oracle_sql() -> dict[str, str]:
         "dedup_by_key": DIRTY + f"""SELECT {PURCHASE} FROM (
             SELECT *, row_number() OVER (PARTITION BY id_purchase ORDER BY purchase_date, id_client,
                 product, price, quantity, total) AS rn
-            FROM (SELECT id_purchase, id_client, product, price, quantity, d AS purchase_date, total
+            FROM (SELECT id_purchase, id_client, product, exact AS price, quantity, d AS purchase_date, total
                   FROM tagged_purchases WHERE reason IS NULL)) WHERE rn = 1""",
         "dedup_by_email": DIRTY + f"SELECT {CLIENT} FROM client_emails WHERE en = 1",
         "normalize_strings": DIRTY + "SELECT id_client, trim(name) AS name, lower(trim(email)) AS email,"
                              " subscription_date, trim(country) AS country FROM raw_clients",
         "coerce_numeric": DIRTY + f"SELECT {NUMBERS} FROM raw_purchases",
         "reject_negative": DIRTY + f"SELECT {NUMBERS} FROM raw_purchases"
-                           " WHERE CAST(price AS DECIMAL(18,2)) >= 0 AND CAST(quantity AS INTEGER) >= 0",
+                           " WHERE CAST(price AS DECIMAL(18,6)) >= 0 AND CAST(quantity AS BIGINT) >= 0",
         "recalc_total": DIRTY + """SELECT id_purchase, price, quantity, total, total_recalculated FROM (
-            SELECT id_purchase, CAST(price AS DOUBLE) AS price, CAST(quantity AS BIGINT) AS quantity,
-                   CAST(CAST(price * quantity AS DECIMAL(18,2)) AS DOUBLE) AS total,
-                   stored <> CAST(price * quantity AS DECIMAL(18,2)) AS total_recalculated
+            SELECT id_purchase, CAST(exact AS DOUBLE) AS price, quantity,
+                   CAST(CAST(exact * CAST(quantity AS DECIMAL(19,0)) AS DECIMAL(18,2)) AS DOUBLE) AS total,
+                   stored <> CAST(exact * CAST(quantity AS DECIMAL(19,0)) AS DECIMAL(18,2)) AS total_recalculated
             FROM typed_purchases)""",
-        "orphan_semi_join": DIRTY + f"""SELECT {RAW_PURCHASE} FROM raw_purchases WHERE
-            CAST(id_client AS BIGINT) IN (SELECT id_client FROM clean_clients)""",
-        "orphan_rejects": DIRTY + f"""SELECT {RAW_PURCHASE} FROM raw_purchases WHERE
-            CAST(id_client AS BIGINT) NOT IN (SELECT id_client FROM clean_clients)""",
+        "orphan_semi_join": DIRTY + f"""SELECT {OWNED} FROM raw_purchases WHERE
+            {whole('id_client')} IN (SELECT id_client FROM clean_clients)""",
+        "orphan_rejects": DIRTY + f"""SELECT {OWNED} FROM raw_purchases WHERE
+            {whole('id_client')} NOT IN (SELECT id_client FROM clean_clients)""",
         "clean_clients": DIRTY + f"SELECT {CLIENT} FROM clean_clients",
         "clean_purchases": DIRTY + f"SELECT {PURCHASE} FROM clean_purchases",
         "quality_clients": DIRTY + waterfall(CLIENT_QUALITY),

@@ -17,7 +17,7 @@ from storeloom.layout import Layout
 from storeloom.operators import facts, kpis, ml, quality, serving, silver, stats, temporal
 from storeloom.plans import gold, prediction, refresh
 from storeloom.plans.pipeline import run_pipeline, summary_of
-from storeloom.schemas import BRONZE, CLIENT_COLUMNS, PURCHASE_COLUMNS
+from storeloom.schemas import BRONZE, CLIENT_COLUMNS, GOLD_TABLES, PURCHASE_COLUMNS
 from storeloom.session import scratch_path, through_table
 from storeloom.sources import files, sinks, starschema
 
@@ -46,6 +46,10 @@ def _dirty(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return starschema.dirty_clients(spark, sf), starschema.dirty_purchases(spark, sf)
 
 
+def _with_client_ids(spark: SparkSession, sf: str) -> DataFrame:
+    return starschema.dirty_purchases(spark, sf).withColumn("id_client", quality.number("id_client"))
+
+
 def _valid(spark: SparkSession, sf: str) -> DataFrame:
     return silver.clean_clients(starschema.dirty_clients(spark, sf), AS_OF)
 
@@ -170,7 +174,9 @@ def write_json_report(spark, sf):
 
 def refresh_serving(spark, sf):
     layout, _ = _gold_run(spark, sf)
-    return refresh.refresh_serving(spark, layout)
+    # A table that is not there must show as failed.
+    done = refresh.refresh_serving(spark, layout, [*GOLD_TABLES, "no_such_table"])
+    return done.select("table", "status", "rows")
 
 
 def nan_to_null(spark, sf):
@@ -493,9 +499,9 @@ _QUERIES: dict[str, Query] = {
     "reject_negative": lambda s, d: quality.reject_negative(coerce_numeric(s, d)),
     "recalc_total": recalc_total,
     "orphan_semi_join": lambda s, d: quality.orphan_semi_join(
-        starschema.dirty_purchases(s, d), _valid(s, d)).select(*PURCHASE_COLUMNS),
+        _with_client_ids(s, d), _valid(s, d)).select(*PURCHASE_COLUMNS),
     "orphan_rejects": lambda s, d: quality.orphan_rejects(
-        starschema.dirty_purchases(s, d), _valid(s, d)).select(*PURCHASE_COLUMNS),
+        _with_client_ids(s, d), _valid(s, d)).select(*PURCHASE_COLUMNS),
     "clean_clients": _valid,
     "clean_purchases": clean_purchases,
     "quality_clients": quality_clients,

@@ -60,10 +60,9 @@ def values_at_ranks(counts: DataFrame, by: Sequence[str],
         .where(F.exists("ranks", lambda r: (r >= F.col("start")) & (r < F.col("stop"))))
     )
 
-    # At most ``n_ranks`` rows per group, and groups are a few metrics or
-    # labels: bounded, so this side is safe to broadcast. Null-safe keys keep
-    # a NULL group, and add no filter that would make the two readings of the
-    # counts differ and lose their common shuffle.
+    # At most ``n_ranks`` rows per group; Spark broadcasts them if they are few.
+    # Null-safe keys keep a NULL group, and add no filter that would make the
+    # two readings of the counts differ and lose their common shuffle.
     wanted = totals.select(*[F.col(c).alias(f"group_{i}") for i, c in enumerate(by)],
                            F.col("bucket").alias("in_bucket"), "start", "n", "ranks")
     same = F.col("bucket").eqNullSafe(F.col("in_bucket"))
@@ -71,7 +70,7 @@ def values_at_ranks(counts: DataFrame, by: Sequence[str],
         same = same & F.col(c).eqNullSafe(F.col(f"group_{i}"))
     within = Window.partitionBy(*by, "bucket").orderBy("value")
     placed = (
-        keyed.join(F.broadcast(wanted), same)
+        keyed.join(wanted, same)
         .withColumn("until", F.col("start") + F.sum("rows").over(within))
         .withColumn("since", F.col("until") - F.col("rows"))
     )
@@ -146,6 +145,7 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int,
     cut = (values_at_ranks(value_counts(hashed, "_u", ["_y"]), ["_y"], last_train, 1, hash_bucket)
            .select("_y", F.element_at("at_ranks", 1).alias("_cut")))
     flagged = F.coalesce(F.col("_u") <= F.col("_cut"), F.lit(False))
-    # One row per label value.
-    return (hashed.join(F.broadcast(cut), "_y", "left")
-            .withColumn("is_train", flagged).drop("_u", "_y", "_cut"))
+    # A NULL label is a label too.
+    cut = cut.withColumnRenamed("_y", "_label")
+    return (hashed.join(cut, F.col("_y").eqNullSafe(F.col("_label")), "left")
+            .withColumn("is_train", flagged).drop("_u", "_y", "_label", "_cut"))

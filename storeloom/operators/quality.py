@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from storeloom.functions.calendar import iso_date
-from storeloom.schemas import MONEY
+from storeloom.schemas import MONEY, PRICE
 
 # The accepted e-mail form and the characters that count as
 # blank around a text. The end anchor allows one final newline, which
@@ -22,8 +22,10 @@ BLANKS = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003
 NULL_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
                "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
-NUMERIC_TYPES = {"id_purchase": "bigint", "id_client": "bigint", "price": MONEY,
-                 "quantity": "int", "total": MONEY}
+NUMERIC_TYPES = {"id_purchase": "bigint", "id_client": "bigint", "price": PRICE,
+                 "quantity": "bigint", "total": MONEY}
+# Fixed value: the only form in which a date is read.
+DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
 
 # --- expressions -----------------------------------------------------------
@@ -33,8 +35,13 @@ def any_null(columns: Iterable[str]) -> Column:
 
 
 def parsed_date(column: str) -> Column:
-    """The date, or NULL for text that is none (plain ``to_date`` would raise)."""
-    return F.try_to_date(F.col(column))
+    """The date, or NULL for text that is none (plain ``to_date`` would raise).
+
+    The whole text, blanks at its ends aside, must be ``yyyy-MM-dd``: years,
+    months and dates with a tail are no dates.
+    """
+    text = trimmed(column)
+    return F.when(text.rlike(DATE_PATTERN), F.try_to_date(text))
 
 
 def is_email(column: str) -> Column:
@@ -56,12 +63,13 @@ def trimmed(column: str) -> Column:
 def number(column: str) -> Column:
     """The column as its silver number type, NULL when it is no number.
 
-    Whole-number columns go through a decimal, so that ``2.0`` is read as 2.
+    Whole-number columns, ids included, go through a decimal, so that ``2.0``
+    is read as 2. A price keeps its digits until it is multiplied.
     """
     kind = NUMERIC_TYPES[column]
-    if kind == "int":
-        return F.coalesce(F.col(column).try_cast("int"),
-                          F.col(column).try_cast("decimal(18,2)").try_cast("int"))
+    if kind == "bigint":
+        return F.coalesce(F.col(column).try_cast("bigint"),
+                          F.col(column).try_cast("decimal(38,6)").try_cast("bigint"))
     return F.col(column).try_cast(kind)
 
 
@@ -149,8 +157,8 @@ def reject_negative(df: DataFrame, min_quantity: int = 0) -> DataFrame:
 
 
 def recalculated_total() -> Column:
-    """Price times quantity, NULL beyond the range of money."""
-    return (F.col("price") * F.col("quantity")).try_cast(MONEY)
+    """Price times quantity, rounded once; NULL beyond the range of money."""
+    return F.try_multiply(F.col("price"), F.col("quantity").cast("decimal(19,0)")).try_cast(MONEY)
 
 
 def recalc_total(df: DataFrame) -> DataFrame:

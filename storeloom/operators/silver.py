@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from storeloom.functions.numeric import ratio
 from storeloom.operators import quality as q
-from storeloom.schemas import CLIENT_COLUMNS, PURCHASE_COLUMNS
+from storeloom.schemas import CLIENT_COLUMNS, MONEY, PURCHASE_COLUMNS
 
 # Survivors among copies are picked on the texts as they came, before trimming.
 CLIENT_ORDER = ["subscription_date", "email", "name", "country"]
@@ -81,7 +81,7 @@ def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> Data
         ("invalid_numbers", q.any_null(numbers) | fresh.isNull()),
         ("negative_values", negative)])
     return read.select(
-        "id_purchase", "id_client", "product", "price", "quantity",
+        "id_purchase", "id_client", "product", F.col("price").try_cast(MONEY).alias("price"), "quantity",
         F.least(F.col("purchase_date"), F.lit(as_of)).alias("purchase_date"),
         F.when(reason.isNull(), fresh).otherwise(F.col("total")).alias("total"),
         reason.alias("drop_reason"), "null_mask",
@@ -151,8 +151,14 @@ def client_quality_row(bronze: DataFrame, as_of: date) -> DataFrame:
 def purchase_quality_row(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
                          min_quantity: int = 0) -> DataFrame:
     """One row, one column per metric and per null count, from one scan of bronze."""
-    known = valid_ids.select(F.col("id_client"), F.lit(True).alias("known"))
-    tagged = tag_purchases(bronze, as_of, min_quantity).join(known, "id_client", "left")
+    known = valid_ids.select(F.col("id_client").alias("valid_id"), F.lit(True).alias("known"))
+    tagged = tag_purchases(bronze, as_of, min_quantity)
+    # Rejected rows look for no client; a hash of theirs that is no id spreads them over the tasks.
+    ok = F.col("drop_reason").isNull()
+    wanted = F.when(ok, F.col("id_client").cast("string")).otherwise(
+        F.concat(F.lit("rejected "), F.xxhash64(*tagged.columns).cast("string")))
+    tagged = tagged.withColumn("wanted", wanted).join(
+        known.withColumn("wanted", F.col("valid_id").cast("string")).drop("valid_id"), "wanted", "left")
     reason = F.when(F.col("drop_reason").isNotNull(), F.col("drop_reason")).when(
         F.col("known").isNull(), F.lit("orphan_purchases"))
     kept = F.col("drop_reason").isNull()

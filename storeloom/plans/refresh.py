@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import logging
-import re
+import time
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from storeloom.layout import Layout
 from storeloom.operators.serving import nan_to_null
@@ -31,32 +33,25 @@ ORDER = {
 # Lookup keys outside the order's first column get bloom filters.
 LOOKUP_KEYS = ["id_client", "id_purchase", "date", "product", "country"]
 
-_SNAPSHOT = re.compile(r"snapshot-(\d{6,})$")
+_LOG = "finished timestamp, snapshot string, rows bigint"
 
 
-def _file_system(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+def _finished(spark: SparkSession, base: str) -> list[str]:
+    """Paths of the complete snapshots of a serving table, oldest first.
 
-
-def _snapshots(spark: SparkSession, base: str) -> list[tuple[int, str, bool]]:
-    """``(number, path, complete)`` of a serving table, oldest first."""
-    fs, where = _file_system(spark, base)
-    if not fs.exists(where):
+    A snapshot is complete when the log names it; the log is a small Parquet
+    table to which a refresh appends one row after its data is written.
+    """
+    try:
+        log_rows = spark.read.schema(_LOG).parquet(f"{base}/log").orderBy("finished", "snapshot").collect()
+    except AnalysisException:
         return []
-    found = []
-    for status in fs.listStatus(where):
-        path = status.getPath()
-        match = _SNAPSHOT.search(path.getName())
-        if match:
-            done = fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS"))
-            found.append((int(match.group(1)), path.toString(), done))
-    return sorted(found)
+    return [f"{base}/{row.snapshot}" for row in log_rows]
 
 
 def read_serving(spark: SparkSession, layout: Layout, table: str) -> DataFrame:
     """The newest complete snapshot of a serving table."""
-    complete = [p for _, p, done in _snapshots(spark, layout.path("serving", table)) if done]
+    complete = _finished(spark, layout.path("serving", table))
     if not complete:
         raise FileNotFoundError(f"no serving snapshot of {table}")
     return spark.read.parquet(complete[-1])
@@ -66,35 +61,45 @@ def load_table(spark: SparkSession, layout: Layout, table: str, keep: int = 2) -
     """Write a new snapshot of one table and return its row count.
 
     Readers take the newest complete snapshot, so they see the old data until
-    the write ends, and keep it if the write fails.
+    the write ends, and keep it if the write fails. Every snapshot has a name
+    of its own, so two refreshes never share one. Of the complete snapshots the
+    newest ``keep`` stay; older ones are emptied, unfinished ones count for
+    nothing.
     """
+    if table not in ORDER:
+        raise ValueError(f"no serving table {table}")
     keys = ORDER[table]
     source = nan_to_null(spark.read.parquet(layout.path("gold", table)))
     base = layout.path("serving", table)
-    before = _snapshots(spark, base)
-    target = f"{base}/snapshot-{(before[-1][0] + 1 if before else 1):06d}"
+    name = f"snapshot-{uuid.uuid4().hex}"
     blooms = [c for c in LOOKUP_KEYS if c in source.columns and c != keys[0]]
     sinks.write_parquet(source.repartitionByRange(*keys).sortWithinPartitions(*keys),
-                        target, bloom_columns=blooms)
-    for _, path, _ in _snapshots(spark, base)[:-keep]:
-        fs, where = _file_system(spark, path)
-        fs.delete(where, True)
-    return spark.read.parquet(target).count()
+                        f"{base}/{name}", bloom_columns=blooms)
+    rows = spark.read.parquet(f"{base}/{name}").count()
+    entry = spark.range(1).select(F.current_timestamp().alias("finished"), F.lit(name).alias("snapshot"),
+                                  F.lit(rows).cast("bigint").alias("rows"))
+    entry.write.mode("append").parquet(f"{base}/log")
+    for old in _finished(spark, base)[:-keep][-keep:]:
+        spark.createDataFrame([], source.schema).write.mode("overwrite").parquet(old)
+    return rows
 
 
 def refresh_serving(spark: SparkSession, layout: Layout,
                     tables: list[str] | None = None) -> DataFrame:
-    """Refresh all serving tables; ``(table, rows)`` of those that succeeded.
+    """Refresh all serving tables: ``table``, ``status``, ``rows``, ``seconds``, ``error``.
 
-    A table that fails is logged and skipped.
+    A table that fails is logged, keeps its old data and has the status
+    ``failed``; the others go on.
     """
-    def load(table: str) -> tuple[str, int] | None:
+    def load(table: str) -> tuple[str, str, int | None, float, str | None]:
+        start = time.perf_counter()
         try:
-            return table, load_table(spark, layout, table)
-        except Exception:
+            rows, status, error = load_table(spark, layout, table), "loaded", None
+        except Exception as failure:
             log.exception("refresh of %s failed", table)
-            return None
+            rows, status, error = None, "failed", str(failure).splitlines()[0]
+        return table, status, rows, round(time.perf_counter() - start, 3), error
 
     wanted = GOLD_TABLES if tables is None else tables
-    loaded = run_together(spark, [lambda t=t: load(t) for t in wanted])
-    return spark.createDataFrame([row for row in loaded if row], "table string, rows bigint")
+    done = run_together(spark, [lambda t=t: load(t) for t in wanted])
+    return spark.createDataFrame(done, "table string, status string, rows bigint, seconds double, error string")

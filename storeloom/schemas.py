@@ -3,6 +3,10 @@
 from pyspark.sql import types as T
 
 MONEY = T.DecimalType(18, 2)
+# A source price, before the total is rounded.
+PRICE = T.DecimalType(18, 6)
+
+# The column and table names of the layers.
 
 CLIENT_COLUMNS = ["id_client", "name", "email", "subscription_date", "country"]
 PURCHASE_COLUMNS = ["id_purchase", "id_client", "product", "price", "quantity",
@@ -29,7 +33,7 @@ SILVER = {
         T.StructField("id_client", T.LongType()),
         T.StructField("product", T.StringType()),
         T.StructField("price", MONEY),
-        T.StructField("quantity", T.IntegerType()),
+        T.StructField("quantity", T.LongType()),
         T.StructField("purchase_date", T.DateType()),
         T.StructField("total", MONEY),
     ]),

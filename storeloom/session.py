@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -34,22 +32,12 @@ def build_session(app: str = "storeloom", master: str | None = None,
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: the one in ``spark.checkpoint.dir``.
 
-    A machine-local folder is used only by a ``local`` master, where driver
-    and executors are one process.
+    Where it is unset, a folder below the warehouse, which executors share too.
     """
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if named:
-        return named
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    # The driver must stay able to find its local folder again for this session.
-    local = os.path.join(tempfile.gettempdir(), f"storeloom-{context.applicationId}")
-    os.makedirs(local, exist_ok=True)
-    context.setCheckpointDir(local)
-    return local
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -24,19 +24,8 @@ def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.withColumn("subscribed", subscribed)
 
 
-def _spread(df: DataFrame, key: str) -> DataFrame:
-    """Give a small table, whose file is one row group, to all cores.
-
-    A table with at least as many splits as cores, so any large one, is left
-    as it is and not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
-
-
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lineitem = _spread(_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity"), "l_orderkey")
+    lineitem = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
     part = _table(spark, sf_dir, "part")
     return (lineitem
@@ -107,18 +96,25 @@ def dirty_clients(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dirty_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = _lines(spark, sf_dir)
     order = F.col("l_orderkey")
+    # Some prices have a third digit, and their totals are rounded only after the product.
+    price = (F.col("price").cast("decimal(13,3)")
+             + F.when(order % 61 == 7, F.lit(5)).otherwise(F.lit(0)).cast("decimal(13,3)") / 1000).cast("decimal(13,3)")
+    day = F.col("purchase_date").cast("string")
     out = raw.select(
-        "id_purchase",
-        F.when(order % 67 == 9, -1 - F.col("o_custkey")).otherwise(F.col("o_custkey"))
-        .alias("id_client"),
+        F.when(order % 31 == 5, F.concat(F.col("id_purchase").cast("string"), F.lit(".0")))
+        .otherwise(F.col("id_purchase").cast("string")).alias("id_purchase"),
+        F.when(order % 67 == 9, (-1 - F.col("o_custkey")).cast("string"))
+        .when(order % 29 == 4, F.concat(F.col("o_custkey").cast("string"), F.lit(".0")))
+        .otherwise(F.col("o_custkey").cast("string")).alias("id_client"),
         _first_rule([(order % 101 == 3, F.lit(None).cast("string")),
                      (F.col("l_partkey") % 17 == 0, F.concat(F.lit(" "), F.col("product")))],
                     F.col("product")).alias("product"),
-        "price",
-        _first_rule([(order % 59 == 8, F.lit(-1)), (order % 47 == 11, F.lit(0))],
-                    F.col("quantity")).alias("quantity"),
-        _first_rule([(order % 73 == 1, F.lit("bad")), (order % 43 == 2, F.lit("2099-12-31"))],
-                    F.col("purchase_date").cast("string")).alias("purchase_date"),
-        (F.col("price") * F.col("quantity")
-         + F.when(order % 53 == 6, 1).otherwise(0)).cast(MONEY).alias("total"))
+        price.alias("price"),
+        _first_rule([(order % 59 == 8, F.lit(-1)), (order % 47 == 11, F.lit(0)),
+                     (order % 211 == 12, F.lit(3_000_000_000))],
+                    F.col("quantity").cast("bigint")).alias("quantity"),
+        _first_rule([(order % 73 == 1, F.lit("bad")), (order % 43 == 2, F.lit("2099-12-31")),
+                     (order % 83 == 4, F.substring(day, 1, 7)), (order % 89 == 6, F.substring(day, 1, 4)),
+                     (order % 97 == 8, F.concat(day, F.lit(" garbage")))], day).alias("purchase_date"),
+        (price * F.col("quantity") + F.when(order % 53 == 6, 1).otherwise(0)).cast(MONEY).alias("total"))
     return _as_text(out, PURCHASE_COLUMNS)

@@ -13,10 +13,12 @@ GOLDEN = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = build_session("tests", "local[8]", {
         "spark.sql.shuffle.partitions": "8", "spark.default.parallelism": "8",
-        "spark.driver.memory": "6g"})
+        "spark.driver.memory": "6g", "spark.checkpoint.dir": str(shared / "checkpoints"),
+        "spark.sql.warehouse.dir": str(shared / "warehouse")})
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

@@ -206,7 +206,7 @@ def test_model_is_kneser_ney(spark, trusted):
 
 
 def test_classifier_keeps_good_and_rejects_bad(spark):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     # Held out: trained on even ids, judged on odd ones.
@@ -214,7 +214,7 @@ def test_classifier_keeps_good_and_rejects_bad(spark):
     rows = judged.filter("doc_id % 2 = 1").join(labels, "doc_id").collect()
     good = [r.rejected for r in rows if r.quality == 1 and r.toxic == 0]
     bad = [r.rejected for r in rows if r.quality == 0]
-    assert len(good) > 100 and np.mean(good) < 0.04 and len(bad) > 15 and np.mean(bad) > 0.75
+    assert len(good) > 1000 and np.mean(good) < 0.03 and len(bad) > 150 and np.mean(bad) > 0.75
 
 
 def test_classifier_edges(spark):

@@ -100,8 +100,9 @@ def test_fact_is_partitioned_by_year(spark, lake):
 
 def test_refresh_and_lookups(spark, lake):
     layout, _ = lake
-    loaded = {r.table: r.rows for r in refresh.refresh_serving(spark, layout).collect()}
-    assert set(loaded) == set(GOLD_TABLES)
+    done = refresh.refresh_serving(spark, layout).collect()
+    loaded = {r.table: r.rows for r in done}
+    assert set(loaded) == set(GOLD_TABLES) and {r.status for r in done} == {"loaded"}
     fact = refresh.read_serving(spark, layout, "fact_sales")
     assert fact.count() == loaded["fact_sales"]
     one = fact.select("id_client", "id_purchase", "product", "country").first()
@@ -125,19 +126,47 @@ def test_failed_refresh_keeps_the_old_data(spark, lake):
     layout, _ = lake
     refresh.refresh_serving(spark, layout, ["daily_sales"])
     before = refresh.read_serving(spark, layout, "daily_sales").count()
-    # A newer snapshot without its success mark is not read.
-    base = layout.path("serving", "daily_sales")
-    os.makedirs(f"{base}/snapshot-999999")
+    # Two refreshes that ended before their log entry.
+    for name in ("snapshot-a", "snapshot-b"):
+        os.makedirs(f"{layout.path('serving', 'daily_sales')}/{name}")
     assert refresh.read_serving(spark, layout, "daily_sales").count() == before
+    refresh.load_table(spark, layout, "daily_sales", keep=2)
+    newest, last = refresh._finished(spark, layout.path("serving", "daily_sales"))[-2:]
+    assert spark.read.parquet(newest).count() == spark.read.parquet(last).count() == before
     missing = Layout(scratch_path(spark, "empty"))
-    assert refresh.refresh_serving(spark, missing, ["daily_sales"]).count() == 0
+    row = refresh.refresh_serving(spark, missing, ["daily_sales"]).first()
+    assert (row.table, row.status, row.rows) == ("daily_sales", "failed", None) and row.error and row.seconds >= 0
     with pytest.raises(FileNotFoundError):
         refresh.read_serving(spark, missing, "daily_sales")
 
 
-def test_old_snapshots_are_dropped(spark, lake):
+def test_old_snapshots_are_emptied(spark, lake):
     layout, _ = lake
     for _ in range(4):
         refresh.load_table(spark, layout, "monthly_sales")
-    kept = refresh._snapshots(spark, layout.path("serving", "monthly_sales"))
-    assert len(kept) == 2 and all(done for _, _, done in kept)
+    rows = [spark.read.parquet(p).count() for p in refresh._finished(spark, layout.path("serving", "monthly_sales"))]
+    assert all(rows[-2:]) and not any(rows[:-2])
+
+
+def _source(folder, purchases):
+    (folder / "clients.csv").write_text("id_client,name,email,subscription_date,country\n"
+                                        '1,"a\nb",a@b.co,2024-01-01,FR\n2,c,c@b.co,2024-01-01,FR,surplus\n3,short\n')
+    (folder / "purchases.csv").write_text("id_purchase,id_client,product,price,quantity,purchase_date,total\n" + purchases)
+    return str(folder)
+
+
+def test_malformed_records_are_kept_apart(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    landed = files.bronze_ingest(spark, _source(tmp_path, "1,1,p,1.00,1,2024-01-01,1.00\n"), layout)
+    assert [r.name for r in landed["clients"].collect()] == ["a\nb"] and landed["purchases"].count() == 1
+    wrong = {(r.table, r.malformed_record) for r in files.read_malformed(spark, layout).collect()}
+    assert wrong == {("clients", "2,c,c@b.co,2024-01-01,FR,surplus"), ("clients", "3,short")}
+
+
+def test_unfinished_landing_is_landed_again(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    source = _source(tmp_path, "1,1,p,1.00,1,2024-01-01,1.00\n")
+    os.makedirs(layout.path("bronze", "clients"))
+    assert files.bronze_ingest(spark, source, layout, if_absent=True)["clients"].count() == 1
+    _source(tmp_path, "")
+    assert files.bronze_ingest(spark, source, layout, if_absent=True)["purchases"].count() == 1

@@ -147,13 +147,28 @@ def test_golden_waterfall(spark, golden, rows):
                    "duplicates_removed": 38, "final_rows": 1434}
     raw = starschema.dirty_purchases(spark, golden)
     got = dict(rows(silver.quality_purchases(raw, valid, checks.AS_OF)))
-    assert got == {"initial_rows": 60000, "null_values": 557, "invalid_dates": 830,
-                   "future_dates_fixed": 1348, "invalid_numbers": 0, "negative_values": 1006,
-                   "total_recalculated": 2338, "orphan_purchases": 3387,
-                   "duplicates_removed": 12790, "final_rows": 41430}
+    assert got == {"initial_rows": 60000, "null_values": 557, "invalid_dates": 2751,
+                   "future_dates_fixed": 1348, "invalid_numbers": 0, "negative_values": 984,
+                   "total_recalculated": 2524, "orphan_purchases": 3305,
+                   "duplicates_removed": 12336, "final_rows": 40067}
     drops = ["null_values", "invalid_dates", "invalid_numbers", "negative_values",
              "orphan_purchases", "duplicates_removed"]
     assert got["initial_rows"] - sum(got[d] for d in drops) == got["final_rows"]
     clean = silver.clean_purchases(raw, valid, checks.AS_OF)
     assert clean.agg(F.count_if(F.col("quantity") == 0), F.sum("total").cast("double"),
-                     F.countDistinct("id_client")).first()[:] == (887, 978363132.0, 1434)
+                     F.countDistinct("id_client")).first()[:] == (856, 564128186166495.75, 1434)
+
+
+def test_numbers_and_dates_that_used_to_be_lost(spark, rows):
+    raw = purchases(spark,
+                    ("1.0", "1.0", "p", "12.345", "2", "2024-01-01", "24.69"),
+                    ("2", "1", "p", "1.00", "3000000000", " 2024-01-01 ", "3000000000"),
+                    ("3", "1", "p", "1", "1", "2024", "1"), ("4", "1", "p", "1", "1", "2024-01", "1"),
+                    ("5", "1", "p", "1", "1", "2024-01-02 garbage", "1"),
+                    ("6", "1", "p", "1", "1", "2024-1-2", "1"), ("7", "1", "p", "1", "1", "2024-02-30", "1"))
+    ids = spark.createDataFrame([(1,)], "id_client bigint")
+    clean = silver.clean_purchases(raw, ids, TODAY)
+    assert rows(clean.select("id_purchase", "quantity", F.col("total").cast("double"))) == [
+        (1, 2, 24.69), (2, 3_000_000_000, 3e9)]
+    report = dict(rows(silver.quality_purchases(raw, ids, TODAY)))
+    assert (report["invalid_dates"], report["total_recalculated"], report["final_rows"]) == (5, 0, 2)
