@@ -28,7 +28,7 @@ def normal(rows, names):
                                            for v in r))
 
 
-SPARK_TYPES = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
+SPARK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 def differences(con, df, sql):
