@@ -10,34 +10,50 @@ from storeloom.llm.common import written
 from storeloom.llm.components import components
 
 
-def bucket_links(members: DataFrame, likely: Callable[[str, str], Column],
-                 confirm: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
+Confirm = Callable[[DataFrame, DataFrame, str], DataFrame]
+
+
+def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column],
+                 confirm: Confirm, name: str) -> DataFrame:
     """Confirmed links ``(a, b)`` that connect whatever the links inside buckets connect.
 
-    ``members``: ``key`` and a struct ``m`` with a long ``id``; an id may be in
-    many buckets. ``likely(x, y)`` says of two columns like ``m`` whether a link
-    is possible; ``confirm(pairs, name)`` returns the pairs ``(a, b)`` that are
-    links. Every member is compared with the smallest of its bucket. Only
+    ``keys``: ``key`` and a long ``id``, which may be in many buckets; ``nodes``:
+    ``id`` and ``m``, what is known of it. ``likely(x, y)`` says of two columns
+    like ``m`` whether a link is possible; ``confirm(pairs, ids, name)`` returns
+    the pairs ``(a, b)`` that are links, ``ids`` being all members of buckets.
+    Every member is compared with one of its bucket: the one that meets most
+    others in all its buckets, as an original does among its copies. Only
     members of one bucket that are in different components after that are
     compared with each other. So no link is lost that would join components.
     """
-    shared = (members.select("key", F.col("m.id").alias("id")).groupBy("key")
-              .agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("head")).filter("size > 1"))
-    crowd = written(members.join(shared.select("key", "head"), "key"), f"{name}-crowd")
-    heads = crowd.filter("m.id = head").select("key", F.col("m").alias("h"))
-    first = crowd.filter("m.id <> head").select("key", "m").join(heads, "key").filter(likely("h", "m")).select(
-        F.col("h.id").alias("a"), F.col("m.id").alias("b")).distinct()
-    first = written(first, f"{name}-first")
-    links = confirm(first, f"{name}-first")
+    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    crowd = written(keys.join(shared, "key"), f"{name}-crowd")
+    degree = crowd.groupBy("id").agg(F.sum("size").alias("degree"))
+    known = written(nodes.join(degree, "id").select("id", "degree", "m"), f"{name}-nodes")
+    ids = known.select("id")
+    place = F.struct("degree", -F.col("id"))
+    heads = (crowd.join(known.select("id", "degree"), "id").groupBy("key")
+             .agg(F.max_by("id", place).alias("head")))
+    pairs = crowd.join(heads, "key").filter("id <> head").select(
+        F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+    first = written(_likely_pairs(pairs, known, likely), f"{name}-first")
+    links = confirm(first, ids, f"{name}-first")
 
     grouped = components(links, f"{name}-groups")
-    apart = crowd.select("key", "m", F.col("m.id").alias("id")).join(grouped, "id", "left").select(
-        "key", "m", F.coalesce("component", "id").alias("component"))
+    apart = crowd.select("key", "id").join(grouped, "id", "left").select(
+        "key", "id", F.coalesce("component", "id").alias("component"))
+    apart = written(apart, f"{name}-placed")
     mixed = (apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("key"))
-    apart = written(apart.join(mixed, "key", "left_semi"), f"{name}-apart")
+    apart = written(apart.join(mixed, "key", "left_semi").join(known.select("id", "m"), "id"), f"{name}-apart")
     rest = apart.alias("x").join(apart.alias("y"), (F.col("x.key") == F.col("y.key"))
                                  & (F.col("x.component") < F.col("y.component")) & likely("x.m", "y.m"))
-    rest = rest.select(F.least("x.m.id", "y.m.id").alias("a"), F.greatest("x.m.id", "y.m.id").alias("b")).distinct()
+    rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = written(rest.join(first, ["a", "b"], "left_anti"), f"{name}-rest")
-    return links.unionByName(confirm(rest, f"{name}-rest"))
+    return links.unionByName(confirm(rest, ids, f"{name}-rest"))
+
+
+def _likely_pairs(pairs: DataFrame, known: DataFrame, likely: Callable[[str, str], Column]) -> DataFrame:
+    x = known.select(F.col("id").alias("a"), F.col("m").alias("x"))
+    y = known.select(F.col("id").alias("b"), F.col("m").alias("y"))
+    return pairs.join(x, "a").join(y, "b").filter(likely("x", "y")).select("a", "b")

@@ -141,7 +141,8 @@ def _sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                 pa.array([f.view(np.int64) for f in found], schema.field("shingles").type)], schema=schema)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return (texts.join(wanted, "doc_id", "left_semi").mapInArrow(run, ddl))
+    # The same plan at every size: the wanted ids are not bounded.
+    return texts.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(run, ddl)
 
 
 def _close(a: str, b: str) -> Column:
@@ -182,10 +183,16 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = SHINGLE) ->
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
     """Confirmed links ``(a, b)`` between representatives."""
-    member = classes.select(F.explode("bands").alias("key"), F.struct(
-        F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "bits").alias("m"))
-    return bucket_links(member, lambda a, b: _sizes_allow(a, b, percent) & _close(a, b),
-                        lambda pairs, name: _confirmed(docs, classes, pairs, percent, width, name), "near")
+    keys = classes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
+    nodes = classes.select(F.col("doc_id").alias("id"), F.struct(F.col("n_shingles").alias("n"), "bits").alias("m"))
+    sets: list[DataFrame] = []
+
+    def confirm(pairs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+        if not sets:  # the texts are read and shuffled once, for both rounds
+            sets.append(_sets_of(docs, classes, ids, width))
+        return _confirmed(sets[0], pairs, percent, name)
+
+    return bucket_links(keys, nodes, lambda a, b: _sizes_allow(a, b, percent) & _close(a, b), confirm, "near")
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
@@ -193,17 +200,18 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
     return F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
 
-def _confirmed(docs: DataFrame, classes: DataFrame, pairs: DataFrame, percent: int, width: int,
-               name: str) -> DataFrame:
-    """The pairs whose full sets are similar enough."""
-    wanted = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
+    """``id``, ``shingles`` of the representatives ``ids``."""
     # An id may have rows with other texts; only the class's own set counts.
-    sets = _sets(docs, wanted, width).join(classes.select("doc_id", "set_a", "set_b"),
-                                           ["doc_id", "set_a", "set_b"], "left_semi")
-    sets = written(sets.select("doc_id", "set_a", "shingles").dropDuplicates(["doc_id", "set_a"]), f"{name}-sets")
-    sets = sets.select("doc_id", "shingles")
-    both = (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y")), "b")
-            .join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x")), "a"))
+    found = _sets(docs, ids.select(F.col("id").alias("doc_id")), width).join(
+        classes.select("doc_id", "set_a", "set_b"), ["doc_id", "set_a", "set_b"], "left_semi")
+    return written(found.select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
+    """The pairs whose full sets are similar enough."""
+    both = (pairs.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
+            .join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a"))
     shared = F.size(F.array_intersect("x", "y"))
     linked = both.filter(shared * 100 >= (F.size("x") + F.size("y") - shared) * percent)
     return written(linked.select("a", "b"), f"{name}-links")
