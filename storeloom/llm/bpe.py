@@ -21,7 +21,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from storeloom.llm import pieces
-from storeloom.llm.common import text_of, written
+from storeloom.llm.common import groups, text_of, written
 
 CHUNK, OVERLAP = 1 << 16, 1 << 10
 #: A scan may err on boundaries this close to its end: a match looks ahead two characters.
@@ -90,9 +90,11 @@ def encode(docs: DataFrame, ranks: str, id_col: str = "doc_id", text_col: str =
 
     def whole(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(_ids_of(ranks, batch.column(1).to_pylist()), pa.binary())],
-                ["id", "ids"])
+            texts = batch.column(1).to_pylist()
+            for some in groups(map(len, texts)):
+                part = batch.column(0)[some.start:some.stop]
+                yield pa.RecordBatch.from_arrays(
+                    [part, pa.array(_ids_of(ranks, texts[some]), pa.binary())], ["id", "ids"])
 
     def spread(batches):
         for batch in batches:
@@ -132,10 +134,12 @@ def decode(encoded: DataFrame, ranks: str, ids_col: str = "ids") -> DataFrame:
     def bytes_of(batches):
         encoder = pieces.encoder(ranks)
         for batch in batches:
-            texts = [None if v is None else encoder.decode(np.frombuffer(v, "<u4"))
-                     for v in batch.column(batch.schema.get_field_index(ids_col)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())],
-                                             [*batch.schema.names, "decoded"])
+            ids = batch.column(batch.schema.get_field_index(ids_col)).to_pylist()
+            for some in groups((len(v or b"") for v in ids), 8 << 20):
+                part = batch.slice(some.start, some.stop - some.start)
+                texts = [None if v is None else encoder.decode(np.frombuffer(v, "<u4")) for v in ids[some]]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())],
+                                                 [*part.schema.names, "decoded"])
 
     rows = encoded.select(*kept)
     return rows.mapInArrow(bytes_of, StructType([*rows.schema.fields, StructField("decoded", BinaryType())]))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -34,3 +35,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_of(column: str = "text") -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
+
+
+def groups(sizes: Iterable[int], most: int = 1 << 20) -> Iterator[slice]:
+    """Slices of rows of some ``most`` units together, so that a step's memory is bounded."""
+    begun = held = stop = 0
+    for stop, size in enumerate(sizes, start=1):
+        held += size
+        if held >= most:
+            yield slice(begun, stop)
+            begun, held = stop, 0
+    if begun < stop:
+        yield slice(begun, stop)

@@ -22,7 +22,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from storeloom.llm import pieces
-from storeloom.llm.common import text_of
+from storeloom.llm.common import groups, text_of
 
 #: Sequence numbers of a partition start at its number times this.
 PER_PARTITION = 1 << 36
@@ -145,20 +145,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = 1024, stop_id: int = 0,
 
         for batch in batches:
             names, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for some in groups(texts):
+            for some in groups(map(len, texts)):
                 yield rows(added(names[some], texts[some]))
         yield rows(packer.close())
 
     return docs.select(F.col(id_col), text_of(text_col)).mapInArrow(run, ddl)
-
-
-def groups(texts: list[str], most: int = pieces.STEP) -> Iterator[slice]:
-    """Runs of texts of some ``most`` characters together."""
-    begun = size = 0
-    for i, text in enumerate(texts):
-        size += len(text)
-        if size >= most:
-            yield slice(begun, i + 1)
-            begun, size = i + 1, 0
-    if begun < len(texts):
-        yield slice(begun, len(texts))
