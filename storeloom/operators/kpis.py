@@ -138,10 +138,34 @@ def product_top_countries_join(totals: DataFrame, countries: DataFrame) -> DataF
     return totals.join(countries, "product", "left")
 
 
-def product_analytics(fact: DataFrame) -> DataFrame:
-    joined = product_top_countries_join(product_totals(fact), product_top_countries(fact))
-    return joined.orderBy(F.col("total_revenue").desc(), F.col("product"))
+def product_analytics(fact: DataFrame, k: int = 3) -> DataFrame:
+    """Totals and best countries per product, from one scan and one large shuffle.
 
+    The fact is first aggregated by product, country and client, which spreads a
+    dominant product and a dominant client and leaves nothing to count twice: a
+    client has one country, so its rows are the distinct clients.
+    """
+    per_client = fact.groupBy("product", "country", "id_client").agg(
+        F.count("id_purchase").alias("orders"), F.sum(F.col("quantity").cast("bigint")).alias("quantity"),
+        F.sum(cents("total")).alias("revenue"), F.sum(cents("price")).alias("prices"),
+        F.count("price").alias("priced"), F.min("price").alias("low"), F.max("price").alias("high"))
+    sums = [F.sum(c).alias(c) for c in ("orders", "quantity", "revenue", "prices", "priced")]
+    ends = [F.min("low").alias("low"), F.max("high").alias("high")]
+    per_country = per_client.groupBy("product", "country").agg(*sums, *ends, F.count("id_client").alias("clients"))
+    # A few countries per product from here on.
+    place = Window.partitionBy("product").orderBy(
+        F.col("country").isNull(), from_cents(F.col("revenue")).desc(), "country")
+    ranked = per_country.withColumn("rank", F.row_number().over(place))
+    names = F.expr(f"listagg(CASE WHEN rank <= {k} THEN country END, ', ') within group (order by rank)")
+    out = ranked.groupBy("product").agg(*sums, *ends, F.sum("clients").alias("clients"),
+                                        names.alias("top_countries"))
+    return out.select(
+        "product", F.col("quantity").alias("total_quantity_sold"), from_cents(F.col("revenue")).alias("total_revenue"),
+        ratio(from_cents(F.col("prices")), F.col("priced")).alias("avg_price"),
+        F.col("low").cast("double").alias("min_price"), F.col("high").cast("double").alias("max_price"),
+        F.col("orders").alias("total_orders"), F.col("clients").alias("unique_customers"),
+        ratio(F.col("quantity"), F.col("orders")).alias("avg_quantity_per_order"), "top_countries",
+    ).orderBy(F.col("total_revenue").desc(), F.col("product"))
 
 def country_totals(totals: DataFrame) -> DataFrame:
     """Revenue, clients, orders and quantity per country.

@@ -102,39 +102,38 @@ def price_distribution(sales: DataFrame, approx: bool = False) -> DataFrame:
             .unionByName(_quantiles(sales, {"price": MEDIAN}, approx)))
 
 
-def _overall(prefix: str = "", approx: bool = False) -> list[Column]:
+def _overall(fact: DataFrame, approx: bool = False) -> DataFrame:
+    """One row of grand totals and distinct clients, products and countries.
+
+    The fact is combined by client, product and country first, so the distinct
+    counts expand those combinations and not every purchase.
+    """
+    base = fact.groupBy("id_client", "product", "country").agg(
+        F.sum(cents("total")).alias("revenue"), F.count("id_purchase").alias("orders"),
+        F.sum(F.col("quantity").cast("bigint")).alias("items"))
     distinct = F.approx_count_distinct if approx else F.countDistinct
-    revenue = from_cents(F.sum(cents("total")))
-    items = F.sum(F.col("quantity").cast("bigint"))
-    orders = F.count("id_purchase")
-    return [revenue.alias(f"{prefix}total_revenue"), orders.alias(f"{prefix}total_orders"),
-            distinct("id_client").alias(f"{prefix}total_customers"),
-            distinct("product").alias(f"{prefix}total_products"),
-            distinct("country").alias(f"{prefix}total_countries"),
-            ratio(revenue, orders).alias(f"{prefix}avg_order_value"),
-            ratio(items, orders).alias(f"{prefix}avg_items_per_order")]
+    revenue, orders = from_cents(F.sum("revenue")), F.sum("orders")
+    return base.agg(
+        revenue.alias("total_revenue"), F.coalesce(orders, F.lit(0)).alias("total_orders"),
+        distinct("id_client").alias("total_customers"), distinct("product").alias("total_products"),
+        distinct("country").alias("total_countries"), ratio(revenue, orders).alias("avg_order_value"),
+        ratio(F.sum("items"), orders).alias("avg_items_per_order"))
 
 
 def overall_metrics(fact: DataFrame, approx: bool = False) -> DataFrame:
-    """Grand totals and distinct clients, products and countries.
-
-    Several distinct counts in one aggregation expand every row once per
-    count, but each copy is combined before the shuffle, so what moves is one
-    row per distinct value and task.
-    """
-    return _long("overall_metrics", fact.agg(*_overall(approx=approx)))
+    """Grand totals and distinct clients, products and countries."""
+    return _long("overall_metrics", _overall(fact, approx))
 
 
 def statistical_distributions(fact: DataFrame, approx: bool = False) -> DataFrame:
-    """All four sections from two passes over the fact.
+    """All four sections from three passes over the fact.
 
-    Moments and grand totals share one. Quantiles and the mode share the
-    other, which counts the values of all three columns.
+    One takes the moments and one the grand totals; quantiles and the mode
+    share the third, which counts the values of all three columns.
     """
     row = fact.agg(*_moments("total", "order_value_distribution__"),
                    *_span("quantity", "quantity_distribution__"),
-                   *_moments("price", "price_distribution__"),
-                   *_overall("overall_metrics__", approx))
+                   *_moments("price", "price_distribution__"))
     doubles = row.select(*[F.col(c).cast("double").alias(c) for c in row.columns])
     parts = F.split("key", "__")
     totals = (doubles.unpivot([], doubles.columns, "key", "value")
@@ -150,7 +149,8 @@ def statistical_distributions(fact: DataFrame, approx: bool = False) -> DataFram
         found = quantiles_of_counts(counts, probabilities, ["measure"])
         quantiles = _quantile_rows(found, wanted, probabilities)
         mode = mode_of_counts(counts, F.col("measure") == "quantity")
-    return totals.unionByName(quantiles).unionByName(_long("quantity_distribution", mode))
+    return (totals.unionByName(overall_metrics(fact, approx)).unionByName(quantiles)
+            .unionByName(_long("quantity_distribution", mode)))
 
 
 def top_performers(products: DataFrame, countries: DataFrame, clients: DataFrame) -> DataFrame:

@@ -96,3 +96,12 @@ def test_hot_key_join_is_split(spark, hot):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_product_analytics_reads_the_fact_once(spark, sf):
+    from storeloom.operators import kpis
+    from storeloom.session import through_table
+    fact = through_table(checks._fact(spark, sf), "fact")
+    plan = kpis.product_analytics(fact)._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "Join" not in final and "Expand" not in final
