@@ -116,5 +116,57 @@ FROM parts p LEFT JOIN best b USING (page_id)
 """
 
 
+# Every window of 50 bytes as 100 hex digits, against the smallest document that has it.
+SQL_SUFFIX_DEDUP = """
+WITH docs AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS digits FROM documents),
+sized AS (
+  SELECT doc_id, digits, CAST(length(digits) / 2 AS BIGINT) AS n_bytes FROM docs),
+windows AS (
+  SELECT doc_id, pos, substr(digits, 2 * pos + 1, 100) AS w
+  FROM (SELECT doc_id, digits, unnest(range(n_bytes - 49)) AS pos FROM sized WHERE n_bytes >= 50)),
+hits AS (
+  SELECT doc_id, pos FROM (SELECT doc_id, pos, min(doc_id) OVER (PARTITION BY w) AS least FROM windows)
+  WHERE least < doc_id),
+bytes AS (
+  SELECT doc_id, unnest(range(n_bytes)) AS pos FROM sized),
+cover AS (
+  SELECT b.doc_id, b.pos, b.pos - h.pos < 50 AND h.pos IS NOT NULL AS gone
+  FROM bytes b ASOF LEFT JOIN hits h ON b.doc_id = h.doc_id AND b.pos >= h.pos),
+edges AS (
+  SELECT *, gone AND NOT lag(gone, 1, false) OVER (PARTITION BY doc_id ORDER BY pos) AS starts FROM cover),
+counted AS (
+  SELECT e.doc_id, count(*) FILTER (gone) AS n_removed, count(*) FILTER (starts) AS n_spans,
+         coalesce(string_agg(substr(s.digits, 2 * e.pos + 1, 2), '' ORDER BY e.pos) FILTER (NOT gone), '') AS kept
+  FROM edges e JOIN sized s USING (doc_id) GROUP BY e.doc_id)
+SELECT s.doc_id, s.n_bytes, coalesce(c.n_removed, 0) AS n_removed, coalesce(c.n_spans, 0) AS n_spans,
+       sha256(unhex(coalesce(c.kept, ''))) AS kept_sha256
+FROM sized s LEFT JOIN counted c USING (doc_id)
+"""
+
+# All pairs that share a shingle, and their transitive closure.
+SQL_MINHASH = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 3),
+           lambda i: array_to_string(list_slice(words, i, i + 4), ' '))) END AS shingles
+  FROM split),
+rows AS (SELECT doc_id, len(shingles) AS n, unnest(shingles) AS s FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM rows a JOIN rows b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)
+SELECT s.doc_id, CAST(len(s.shingles) AS BIGINT) AS n_shingles, least(s.doc_id, coalesce(l.y, s.doc_id)) AS component_id,
+       s.doc_id <= coalesce(l.y, s.doc_id) AS kept
+FROM sets s LEFT JOIN least l ON s.doc_id = l.x
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_topk": SQL_TOPK, "op3_url_filter": SQL_URL_FILTER}
+    return {"op2_topk": SQL_TOPK, "op3_url_filter": SQL_URL_FILTER, "op6_suffix_dedup": SQL_SUFFIX_DEDUP,
+            "op10_minhash": SQL_MINHASH}
