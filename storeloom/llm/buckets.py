@@ -14,7 +14,9 @@ Confirm = Callable[[DataFrame, DataFrame, str], DataFrame]
 
 
 def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column],
-                 confirm: Confirm, name: str) -> DataFrame:
+                 confirm: Confirm, name: str,
+                 refine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+                 closer: Callable[[str, str], Column] | None = None) -> DataFrame:
     """Confirmed links ``(a, b)`` that connect whatever the links inside buckets connect.
 
     ``keys``: ``key`` and a long ``id``, which may be in many buckets; ``nodes``:
@@ -24,7 +26,8 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str],
     Every member is compared with one of its bucket: the one that meets most
     others in all its buckets, as an original does among its copies. Only
     members of one bucket that are in different components after that are
-    compared with each other. So no link is lost that would join components.
+    compared with each other, by ``closer`` on what ``refine(ids, nodes)`` knows
+    of them, where given. So no link is lost that would join components.
     """
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     crowd = written(keys.join(shared, "key"), f"{name}-crowd")
@@ -45,9 +48,13 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str],
     apart = written(apart, f"{name}-placed")
     mixed = (apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("key"))
-    apart = written(apart.join(mixed, "key", "left_semi").join(known.select("id", "m"), "id"), f"{name}-apart")
+    apart = written(apart.join(mixed, "key", "left_semi"), f"{name}-mixed")
+    known = known.select("id", "m")
+    if refine:
+        known = written(refine(apart.select("id").distinct(), known), f"{name}-refined")
+    apart = written(apart.join(known, "id"), f"{name}-apart")
     rest = apart.alias("x").join(apart.alias("y"), (F.col("x.key") == F.col("y.key"))
-                                 & (F.col("x.component") < F.col("y.component")) & likely("x.m", "y.m"))
+                                 & (F.col("x.component") < F.col("y.component")) & (closer or likely)("x.m", "y.m"))
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = written(rest.join(first, ["a", "b"], "left_anti"), f"{name}-rest")
     return links.unionByName(confirm(rest, ids, f"{name}-rest"))

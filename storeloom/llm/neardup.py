@@ -8,7 +8,9 @@ the full sets, and components are found. Members of one bucket that are still
 in different components are then compared with each other, so no link between
 members of a bucket is lost and a bucket of copies costs one comparison each.
 The bits of a signature (one per minimum) drop pairs far below the threshold
-before the sets are fetched.
+before the sets are fetched. In the second comparison so do the shingles that
+no other set has: copies with several changes each are told apart by them
+without looking at the pairs.
 """
 
 from __future__ import annotations
@@ -192,7 +194,24 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> Dat
             sets.append(_sets_of(docs, classes, ids, width))
         return _confirmed(sets[0], pairs, percent, name)
 
-    return bucket_links(keys, nodes, lambda a, b: _sizes_allow(a, b, percent) & _close(a, b), confirm, "near")
+    def refine(ids: DataFrame, known: DataFrame) -> DataFrame:
+        """Adds how many shingles of a set are in any other set of ``ids``."""
+        tokens = sets[0].join(ids, "id").select("id", F.explode("shingles").alias("token"))
+        alone = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
+                 .filter("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
+        found = known.join(ids, "id").join(alone, "id", "left")
+        return found.select("id", F.struct("m.n", "m.bits", (F.col("m.n") - F.coalesce("alone", F.lit(0)))
+                                           .alias("shared")).alias("m"))
+
+    def likely(a: str, b: str) -> Column:
+        return _sizes_allow(a, b, percent) & _close(a, b)
+
+    def closer(a: str, b: str) -> Column:
+        """Two sets share at most what the one that shares less has in common with all others."""
+        most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
+        return likely(a, b) & (most * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - most) * percent)
+
+    return bucket_links(keys, nodes, likely, confirm, "near", refine, closer)
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
