@@ -166,27 +166,32 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = SHINGLE) ->
     an empty result; other columns are ignored.
     """
     signed = written(signatures(docs, width), "signatures")
+    # A class is known by the first hash of its set, as one id may have rows in several.
     classes = (signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b")
                .agg(F.min_by(F.struct("doc_id", "n_shingles", "bands", "bits"), "doc_id").alias("r")))
-    classes = written(classes.select("set_a", "set_b", "r.*"), "classes")
+    classes = written(classes.select(F.col("set_a").alias("id"), "set_b", "r.*"), "classes")
     links = _links(docs, classes, percent, width)
 
     # Rows of one id in several classes join these classes.
-    held = signed.join(classes.select("set_a", "set_b", F.col("doc_id").alias("rep")), ["set_a", "set_b"], "left")
-    held = written(held.select("doc_id", "n_shingles", "rep"), "held")
-    homes = held.groupBy("doc_id").agg(F.min("rep").alias("home"), F.max("rep").alias("other")).filter("home < other")
-    shared = held.join(homes, "doc_id").select(F.col("home").alias("a"), F.col("rep").alias("b"))
+    held = signed.join(classes.select(F.col("id").alias("set_a"), "set_b", F.col("doc_id").alias("rep")),
+                       ["set_a", "set_b"], "left")
+    held = written(held.select("doc_id", "n_shingles", "rep", F.when(F.col("rep").isNotNull(), F.col("set_a"))
+                               .alias("id")), "held")
+    homes = held.groupBy("doc_id").agg(F.min("id").alias("home"), F.max("id").alias("other")).filter("home < other")
+    shared = held.join(homes, "doc_id").select(F.col("home").alias("a"), F.col("id").alias("b"))
     grouped = components(links.unionByName(shared))
-    found = held.join(grouped.withColumnRenamed("id", "rep"), "rep", "left")
-    component = F.coalesce("component", "rep", "doc_id")
+    least = (classes.select("id", "doc_id").join(grouped, "id").groupBy("component")
+             .agg(F.min("doc_id").alias("least")))
+    found = held.join(grouped.join(least, "component").select("id", "least"), "id", "left")
+    component = F.coalesce("least", "rep", "doc_id")
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
-    """Confirmed links ``(a, b)`` between representatives."""
-    keys = classes.select(F.explode("bands").alias("key"), F.col("doc_id").alias("id"))
-    nodes = classes.select(F.col("doc_id").alias("id"), F.struct(F.col("n_shingles").alias("n"), "bits").alias("m"))
+    """Confirmed links ``(a, b)`` between classes."""
+    keys = classes.select(F.explode("bands").alias("key"), "id")
+    nodes = classes.select("id", F.struct(F.col("n_shingles").alias("n"), "bits").alias("m"))
     sets: list[DataFrame] = []
 
     def confirm(pairs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
@@ -220,11 +225,12 @@ def _sizes_allow(a: str, b: str, percent: int) -> Column:
 
 
 def _sets_of(docs: DataFrame, classes: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``id``, ``shingles`` of the representatives ``ids``."""
+    """``id``, ``shingles`` of the classes ``ids``, from the texts of their representatives."""
+    wanted = classes.join(ids, "id").select("doc_id", F.col("id").alias("set_a"), "set_b")
     # An id may have rows with other texts; only the class's own set counts.
-    found = _sets(docs, ids.select(F.col("id").alias("doc_id")), width).join(
-        classes.select("doc_id", "set_a", "set_b"), ["doc_id", "set_a", "set_b"], "left_semi")
-    return written(found.select(F.col("doc_id").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
+    found = _sets(docs, wanted.select("doc_id").distinct(), width).join(
+        wanted, ["doc_id", "set_a", "set_b"], "left_semi")
+    return written(found.select(F.col("set_a").alias("id"), "shingles").dropDuplicates(["id"]), "sets")
 
 
 def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int, name: str) -> DataFrame:
