@@ -158,6 +158,20 @@ def test_simhash_of_very_long_lines(spark):
     assert got == [whole, *[majority(hashes[:n]) for n in (127, 128, 16_383)]]
 
 
+@pytest.mark.parametrize("size", [16_384, 32_768])
+def test_simhash_takes_the_words_beyond_whole_runs(spark, size):
+    bits = random.Random(3)
+    hashes = [bits.getrandbits(64) - (1 << 63) for _ in range(size)]
+    rows = spark.createDataFrame([(hashes,)], "h array<long>")
+    got = lines.with_simhash(rows, "h", "s").first().s & ((1 << 64) - 1)
+
+    def majority(held):
+        return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in held) > len(held))
+
+    runs = [hashes[i:i + lines.MOST] for i in range(0, size, lines.MOST)]
+    assert len(runs) == size // 16_384 + 1 and got == majority([majority(r) for r in runs])
+
+
 @pytest.fixture(scope="module")
 def trusted(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
