@@ -172,6 +172,28 @@ def test_simhash_takes_the_words_beyond_whole_runs(spark, size):
     assert len(runs) == size // 16_384 + 1 and got == majority([majority(r) for r in runs])
 
 
+def test_lines_by_edit_similarity_alone(spark, sf):
+    """Links against brute force that knows no SimHash and no sketch, on short lines and with a word changed."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    norms = sorted({_norm(x) for r in docs for x in (r.text or "").split("\n")} - {""})
+    rnd = random.Random(12)
+    plain = [n for n in norms if len(n) < 90][:150]
+    changed = ["hello", "hallo", "abcdefghij", "abcdxfghij", "one two three four", "one two three five"]
+    for n in plain:
+        held = n.split(" ")
+        if len(held) > 3:
+            held[rnd.randrange(len(held))] = rnd.choice("pqvxz") * 3
+            changed.append(" ".join(held))
+    texts = sorted({*plain, *changed})
+    pairs = [(a, b) for a, b in itertools.combinations(texts, 2)
+             if abs(len(a) - len(b)) * 5 <= max(len(a), len(b)) and _distance(a, b) * 5 <= max(len(a), len(b))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = sum(not r.removed for r in lines.repeated_lines(frame).collect())
+    want = len(set(_groups(texts, pairs).values()))
+    # Each missed link may keep one line more; no line may go without a link.
+    assert len(pairs) > 100 and want <= kept <= want + 0.05 * len(pairs)
+
+
 @pytest.fixture(scope="module")
 def trusted(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
