@@ -10,6 +10,8 @@ from class changes, without a regular expression over the text.
 from __future__ import annotations
 
 import base64
+import json
+import re
 from functools import lru_cache
 from itertools import chain
 
@@ -101,10 +103,15 @@ def _byte_letters() -> dict[int, str]:
 
 
 class PieceEncoder:
-    """Encodes texts by a rank file (``.tiktoken``) or a tokenizer file (``.json``)."""
+    """Encodes texts by a rank file (``.tiktoken``) or a tokenizer file (``.json``).
+
+    Added tokens of a tokenizer file become their ids in ``encode``, as in the
+    library; a rank file has none.
+    """
 
     def __init__(self, path: str):
         self.tokens: list[bytes] = []
+        self._added: dict[str, int] = {}
         self._bytes: tuple[np.ndarray, ...] | None = None
         if path.endswith(".tiktoken"):
             with open(path, "rb") as lines:
@@ -115,10 +122,18 @@ class PieceEncoder:
             encoding = tiktoken.Encoding("own", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
             self._encode = lambda pieces: [encoding.encode_ordinary(p) for p in pieces]
         else:
-            model = Tokenizer.from_file(path).model
+            library = Tokenizer.from_file(path)
+            model = library.model
+            for token in json.loads(library.to_str())["added_tokens"]:
+                if token["single_word"] or token["lstrip"] or token["rstrip"]:
+                    raise ValueError(f"added token {token['content']!r} takes more than its text, which is not supported")
+                self._added[token["content"]] = token["id"]
             byte = _byte_letters()
             self._encode = lambda pieces: [
                 [t.id for t in model.tokenize(p.encode().decode("latin-1").translate(byte))] for p in pieces]
+        # Of tokens that start at one place the longest one counts.
+        self._marks = re.compile("(" + "|".join(
+            map(re.escape, sorted(self._added, key=len, reverse=True))) + ")") if self._added else None
         self._reset()
 
     def _reset(self) -> None:
@@ -203,6 +218,16 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text."""
+        if self._marks is None or not any(map(self._marks.search, texts)):
+            return self._encode_plain(texts)
+        # Every second part is an added token; what is between two is a text of its own.
+        parts = [self._marks.split(t) for t in texts]
+        plain = iter(self._encode_plain([p for held in parts for p in held[::2]]))
+        return [np.concatenate([np.array([self._added[p]], dtype=np.uint32) if i % 2 else next(plain)
+                                for i, p in enumerate(held)]) for held in parts]
+
+    def _encode_plain(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, added tokens being ordinary text."""
         out: list[np.ndarray] = []
         group: list[str] = []
         size = 0

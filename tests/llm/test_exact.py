@@ -147,6 +147,17 @@ def test_pieces_match_the_libraries(reference):
         library.encode(c, add_special_tokens=False).ids for c in cases[:500]]
 
 
+def test_added_tokens_match_the_library():
+    mark = "<|endoftext|>"
+    rnd = random.Random(4)
+    cases = [f"a {mark} b", mark, mark * 3, f"{mark}x  {mark}", f" \n{mark}\n 's", "<|endoftext|", f"<|endof{mark}", ""]
+    cases += ["".join(rnd.choice([mark, " ", "ab", "'s", "\n", "é1", "<|"]) for _ in range(rnd.randint(0, 20)))
+              for _ in range(300)]
+    library = Tokenizer.from_file(JSON)
+    assert [i.tolist() for i in pieces.PieceEncoder(JSON).encode(cases)] == [
+        library.encode(c, add_special_tokens=False).ids for c in cases]
+
+
 def test_chunks_are_stitched(reference):
     rnd = random.Random(5)
     encoder = pieces.PieceEncoder(RANKS)
