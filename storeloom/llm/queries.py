@@ -8,7 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import bpe, fingerprints, lines, neardup, packing, quality, repeats, tokenstore, topk, urlfilter
+from storeloom.llm import (bpe, fingerprints, lines, merkle, neardup, packing, quality, repeats, tokenstore, topk,
+                           urlfilter)
 from storeloom.llm.common import shared_folder, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -72,9 +73,13 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verify_tampered(table(spark, sf_dir, "documents"), every=7)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe, op5_line_dedup,
-                                   op6_suffix_dedup, op7_packing, op8_token_store, op9_quality, op10_minhash)}
+                                   op6_suffix_dedup, op7_packing, op8_token_store, op9_quality, op10_minhash, op13_merkle)}
 
 
 SQL_TOPK = """
@@ -167,6 +172,59 @@ FROM sets s LEFT JOIN least l ON s.doc_id = l.x
 """
 
 
+# Level by level from the leaves; CRC-32 bit by bit, as there is no such function.
+SQL_MERKLE = """
+WITH RECURSIVE fields AS (
+  SELECT doc_id, lang, n_chars,
+         coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+           || coalesce(strlen(lang) || ':' || lang, '-') AS before,
+         coalesce(strlen(text) || ':' || text, '-') AS after,
+         list_concat([[ord(c), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]) AS bytes
+  FROM documents),
+leaves AS (
+  SELECT doc_id, lang,
+         sha256(before || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || after) AS leaf,
+         sha256(before || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || after) AS changed,
+         xor(4294967295, list_reduce(flatten(bytes), lambda c, b: CASE WHEN b >= 0 THEN xor(c, CAST(b AS BIGINT))
+           ELSE xor(c >> 1, 3988292384 * (c & 1)) END, 4294967295)) % 7 = 0 AS struck,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n
+  FROM fields),
+tree AS (
+  SELECT 0 AS level, lang, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT level + 1, lang, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM tree WHERE n > 1 GROUP BY level, lang, pos // 2, n),
+subroots AS (
+  SELECT lang, digest AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n
+  FROM tree WHERE n = 1),
+upper AS (
+  SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper WHERE n > 1 GROUP BY level, pos // 2, n),
+walk AS (
+  SELECT doc_id, lang, 0 AS level, pos, n, '' AS siblings, CASE WHEN struck THEN changed ELSE leaf END AS folded
+  FROM leaves
+  UNION ALL
+  SELECT w.doc_id, w.lang, w.level + 1, w.pos // 2, (w.n + 1) // 2, w.siblings || coalesce(t.digest, ''),
+         sha256(CASE WHEN t.pos < w.pos THEN t.digest || w.folded ELSE w.folded || coalesce(t.digest, '') END)
+  FROM walk w LEFT JOIN tree t ON t.lang IS NOT DISTINCT FROM w.lang AND t.level = w.level AND t.pos = xor(w.pos, 1)
+  WHERE w.n > 1),
+climb AS (
+  SELECT w.doc_id, 0 AS level, s.pos, s.n, w.siblings, w.folded
+  FROM walk w JOIN subroots s ON s.lang IS NOT DISTINCT FROM w.lang WHERE w.n = 1
+  UNION ALL
+  SELECT c.doc_id, c.level + 1, c.pos // 2, (c.n + 1) // 2, c.siblings || coalesce(t.digest, ''),
+         sha256(CASE WHEN t.pos < c.pos THEN t.digest || c.folded ELSE c.folded || coalesce(t.digest, '') END)
+  FROM climb c LEFT JOIN upper t ON t.level = c.level AND t.pos = xor(c.pos, 1) WHERE c.n > 1),
+whole AS (SELECT digest AS root FROM upper WHERE n = 1)
+SELECT l.doc_id, l.leaf, s.subroot, w.root, sha256(c.siblings) AS proof_sha256, c.folded AS folded_root,
+       c.folded = w.root AS verified
+FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+JOIN climb c ON c.doc_id = l.doc_id AND c.n = 1 CROSS JOIN whole w
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {"op2_topk": SQL_TOPK, "op3_url_filter": SQL_URL_FILTER, "op6_suffix_dedup": SQL_SUFFIX_DEDUP,
-            "op10_minhash": SQL_MINHASH}
+            "op10_minhash": SQL_MINHASH, "op13_merkle": SQL_MERKLE}
