@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import (bpe, fingerprints, lines, merkle, neardup, packing, quality, repeats, tokenstore, topk,
+from storeloom.llm import (audit, bpe, fingerprints, lines, merkle, neardup, packing, quality, repeats, tokenstore, topk,
                            urlfilter)
 from storeloom.llm.common import shared_folder, table
 
@@ -73,13 +73,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_tampered(table(spark, sf_dir, "documents"), every=7)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe, op5_line_dedup,
-                                   op6_suffix_dedup, op7_packing, op8_token_store, op9_quality, op10_minhash, op13_merkle)}
+                                   op6_suffix_dedup, op7_packing, op8_token_store, op9_quality, op10_minhash,
+                                   op11_filter_audit, op13_merkle)}
 
 
 SQL_TOPK = """
@@ -172,6 +177,52 @@ FROM sets s LEFT JOIN least l ON s.doc_id = l.x
 """
 
 
+# Every order applied step by step to each document's failures.
+SQL_FILTER_AUDIT = r"""
+WITH split AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+fails AS (
+  SELECT doc_id, part,
+         [f FOR f IN [CASE WHEN len(words) < 200 THEN 'A' END,
+           CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' END,
+           CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 2 * length(text) THEN 'C' END,
+           CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' END,
+           CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' END] IF f IS NOT NULL] AS failed
+  FROM split),
+marks AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+marked AS (
+  SELECT f.part, f.failed, coalesce(m.good, false) AS good, coalesce(m.toxic, false) AS toxic
+  FROM fails f LEFT JOIN marks m USING (doc_id)),
+letters(l) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS own,
+         string_split(substr(filter_order, 1, step - 1), '') AS before
+  FROM orders, range(1, 6) r(step)),
+grouped AS (
+  SELECT part, failed, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM marked GROUP BY part, failed),
+results AS (
+  SELECT part, filter_order, step, own,
+         coalesce(sum(n) FILTER (NOT list_has_any(failed, before) AND NOT list_contains(failed, own)), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT list_has_any(failed, before) AND list_contains(failed, own)), 0) AS removed,
+         coalesce(sum(n) FILTER (list_has_any(failed, before) AND list_contains(failed, own)), 0) AS redundant,
+         coalesce(sum(n) FILTER (failed = [own]), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (NOT list_has_any(failed, before) AND list_contains(failed, own)), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (NOT list_has_any(failed, before) AND list_contains(failed, own)), 0) AS toxic_lost
+  FROM grouped, steps GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM results
+"""
+
 # Level by level from the leaves; CRC-32 bit by bit, as there is no such function.
 SQL_MERKLE = """
 WITH RECURSIVE fields AS (
@@ -227,4 +278,5 @@ JOIN climb c ON c.doc_id = l.doc_id AND c.n = 1 CROSS JOIN whole w
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_topk": SQL_TOPK, "op3_url_filter": SQL_URL_FILTER, "op6_suffix_dedup": SQL_SUFFIX_DEDUP,
-            "op10_minhash": SQL_MINHASH, "op13_merkle": SQL_MERKLE}
+            "op10_minhash": SQL_MINHASH,
+            "op11_filter_audit": SQL_FILTER_AUDIT, "op13_merkle": SQL_MERKLE}
