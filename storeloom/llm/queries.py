@@ -8,8 +8,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from storeloom.llm import (audit, bpe, fingerprints, lines, merkle, neardup, packing, quality, repeats, tokenstore, topk,
-                           urlfilter)
+from storeloom.llm import (audit, bpe, fingerprints, langid, lines, merkle, neardup, packing, quality, repeats, tokenstore,
+                           topk, urlfilter)
 from storeloom.llm.common import shared_folder, table
 
 URL_RULES = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -77,6 +77,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predict(table(spark, sf_dir, "documents"), folds=5)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verify_tampered(table(spark, sf_dir, "documents"), every=7)
 
@@ -84,7 +88,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_fingerprints, op2_topk, op3_url_filter, op4_bpe, op5_line_dedup,
                                    op6_suffix_dedup, op7_packing, op8_token_store, op9_quality, op10_minhash,
-                                   op11_filter_audit, op13_merkle)}
+                                   op11_filter_audit, op12_language_id, op13_merkle)}
 
 
 SQL_TOPK = """
