@@ -96,7 +96,8 @@ def grams(line: np.ndarray, doc: np.ndarray) -> Iterator[tuple[np.ndarray, np.nd
                 h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(32)
-            yield h.view(np.int64), doc[start + at]
+            # The first symbol may be the word end that closes the text before.
+            yield h.view(np.int64), doc[start + at + 1]
 
 
 def _merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
