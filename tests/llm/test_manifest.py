@@ -253,7 +253,7 @@ def test_many_languages(spark):
 def test_long_texts_in_parts(monkeypatch):
     """Parts of any size give the n-grams of the whole text."""
     texts = ["the quick,  brown fox; " * 40 + "é̃ " * 7, "", "  ", "abc" * 200, "x", "end "]
-    alone = [sorted(np.concatenate([g for g, _ in langid.grams(*langid.symbols([t])[:2])]).tolist()) for t in texts]
+    alone = [[x for g, _ in langid.grams(*langid.symbols([t])[:2]) for x in g.tolist()] for t in texts]
     want = [Counter(g) for g in alone]
     for step in (1 << 20, 64, 7):
         monkeypatch.setattr(langid, "STEP", step)
