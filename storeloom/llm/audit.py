@@ -27,8 +27,8 @@ from pyspark.sql.types import StructType
 from storeloom.llm.common import groups, text_of, written
 
 LETTERS = "ABCDE"
-#: Bytes of text in a shard; a longer text is a shard of its own.
-SHARD = 8 << 20
+#: Bytes of text in a shard, and in a step of building one; a longer text is one of its own.
+SHARD, STEP = 32 << 20, 8 << 20
 
 _LOCAL = ("shard long, ids array<long>, parts array<string>, points array<long>, capitals array<long>, "
           "marked array<boolean>, digests array<binary>, words array<string>, "
@@ -57,29 +57,37 @@ def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def _csr(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct words, the most frequent first, and row ends, columns and counts of the texts."""
+def _cells(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words of some texts, and row, word and count of each nonzero entry, by rows."""
     # White space of this function: the space and the five characters from tab to carriage return.
     split = pc.ascii_split_whitespace(texts)
     words = split.flatten()
-    ends = np.concatenate([[0], np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False))])
+    row = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
     filled = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0
-    row = np.repeat(np.arange(len(texts)), np.diff(ends))[filled]
     coded = words.filter(pa.array(filled)).dictionary_encode()
-    vocabulary = coded.dictionary
-    column = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    order = np.argsort(-np.bincount(column, minlength=len(vocabulary)), kind="stable")
-    place = np.empty(len(order), np.int64)
+    width = max(len(coded.dictionary), 1)
+    cell, count = np.unique(row[filled] * width + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+    return coded.dictionary, *np.divmod(cell, width), count
+
+
+def _csr(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct words, the most frequent first, and row ends, columns and counts of the texts."""
+    known, parts, begun = pa.array([], pa.string()), [], 0
+    for some in groups(pc.binary_length(texts).to_pylist(), STEP):
+        words, row, column, count = _cells(texts.slice(some.start, some.stop - some.start))
+        known = pa.concat_arrays([known, words.filter(pc.is_null(pc.index_in(words, value_set=known)))])
+        place = pc.index_in(words, value_set=known).to_numpy(zero_copy_only=False)
+        parts.append((row + some.start, place[column], count))
+    row, column, count = map(np.concatenate, zip(*parts))
+    order = np.argsort(-np.bincount(column, count, len(known)), kind="stable")
+    place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
-    cell, count = np.unique(row * max(len(order), 1) + place[column], return_counts=True)
-    row, column = np.divmod(cell, max(len(order), 1))
-    return (vocabulary.take(pa.array(order)).to_pylist(), np.searchsorted(row, np.arange(len(texts)), side="right"),
-            column.astype(np.int32), count.astype(np.int32))
+    return (known.take(pa.array(order)), np.searchsorted(row, np.arange(len(texts)), side="right"),
+            place[column], count.astype(np.int32))
 
 
 def _local_shards(docs: DataFrame) -> DataFrame:
     """The CSR shards with local word numbers, written: what follows reads them twice."""
-    names = [f.name for f in StructType.fromDDL(_LOCAL)]
     schema = to_arrow_schema(StructType.fromDDL(_LOCAL))
     # A number that no other row has, so the first row's names a shard.
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"),
@@ -97,24 +105,26 @@ def _local_shards(docs: DataFrame) -> DataFrame:
                 offsets = np.frombuffer(blob.buffers()[1], np.int64)[blob.offset:blob.offset + len(blob) + 1]
                 data = np.frombuffer(blob.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
                 at = offsets - offsets[0]
-                values = [row[0].as_py(), ids.to_pylist(), sources.to_pylist(), pc.utf8_length(texts).to_pylist(),
-                          _per_text(_CAPITAL[data], at).tolist(), (_per_text(_MARK[data], at) > 0).tolist(),
-                          digests.to_pylist(), words,
-                          _packed(row_ends.astype(np.int64)), _packed(columns), _packed(counts)]
-                yield pa.RecordBatch.from_pydict({n: [v] for n, v in zip(names, values)}, schema)
+                lists = [ids, sources, pc.utf8_length(texts).cast(pa.int64()), pa.array(_per_text(_CAPITAL[data], at)),
+                         pa.array(_per_text(_MARK[data], at) > 0), digests, words]
+                lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v).cast(schema.field(n + 1).type)
+                         for n, v in enumerate(lists)]
+                packed = [_packed(row_ends.astype(np.int64)), _packed(columns), _packed(counts)]
+                yield pa.RecordBatch.from_arrays([row.slice(0, 1), *lists, *[pa.array([v]) for v in packed]],
+                                                 schema=schema)
 
     return written(rows.mapInArrow(run, _LOCAL), "shards")
 
 
 def _dictionary(shards: DataFrame) -> DataFrame:
-    """``shard``, ``local``, ``word``, ``global``: every distinct word of a shard with its number.
+    """``shard``, ``local``, ``global``: every distinct word of a shard with its number.
 
     Rows meet and are sorted by word, and a number is that of the task and of
     the word in it. A word has one row for each shard, however frequent it is.
     """
     words = shards.select("shard", F.posexplode("words").alias("local", "word"))
     sorted_words = words.repartition("word").sortWithinPartitions("word")
-    ddl = "shard long, local int, word string, global long"
+    ddl = "shard long, local int, global long"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
     def run(batches):
@@ -132,7 +142,7 @@ def _dictionary(shards: DataFrame) -> DataFrame:
                 fresh[0] = False
             numbers = base + np.cumsum(fresh)
             base, last = int(numbers[-1]), word[-1].as_py()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(numbers)], schema=schema)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(numbers)], schema=schema)
 
     return sorted_words.withColumn("global", F.monotonically_increasing_id()).mapInArrow(run, ddl)
 
@@ -149,7 +159,7 @@ def term_matrix(docs: DataFrame) -> DataFrame:
     row. An empty table gives no shards; other columns take no part.
     """
     shards = _local_shards(docs)
-    numbers = _dictionary(shards).select("shard", "local", "global")
+    numbers = _dictionary(shards)
     schema = to_arrow_schema(StructType.fromDDL(_MATRIX))
 
     def join(own: pa.Table, words: pa.Table) -> pa.Table:
