@@ -28,7 +28,7 @@ from storeloom.llm.common import groups, text_of, written
 
 LETTERS = "ABCDE"
 #: Bytes of text in a shard, and in a step of building one; a longer text is one of its own.
-SHARD, STEP = 32 << 20, 8 << 20
+SHARD, STEP = 16 << 20, 2 << 20
 
 _LOCAL = ("shard long, ids array<long>, parts array<string>, points array<long>, capitals array<long>, "
           "marked array<boolean>, digests array<binary>, words array<string>, "
@@ -51,10 +51,25 @@ def _unpacked(data: bytes, size: int, kind: str) -> np.ndarray:
                                        asbytes=True), kind)
 
 
-def _per_text(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """How many flags hold from each offset to the next."""
-    sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
-    return sums[offsets[1:]] - sums[offsets[:-1]]
+def _per_text(flags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """How many flags hold from each start to its end."""
+    out, filled = np.zeros(len(starts), np.int64), starts < ends
+    if filled.any():
+        out[filled] = np.add.reduceat(flags, starts[filled], dtype=np.int64)
+    return out
+
+
+def _characters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Of each text the number of capitals, and whether it has a mark."""
+    capitals, marks = [], []
+    for some in groups(pc.binary_length(texts).to_pylist(), STEP):
+        part = texts.slice(some.start, some.stop - some.start)
+        at = np.concatenate([[0], np.cumsum(pc.binary_length(part).to_numpy(zero_copy_only=False), dtype=np.int64)])
+        first = np.frombuffer(part.buffers()[1], np.int32)[part.offset]
+        data = np.frombuffer(part.buffers()[2] or b"", np.uint8)[first:first + at[-1]]
+        capitals.append(_per_text(_CAPITAL[data], at[:-1], at[1:]))
+        marks.append(_per_text(_MARK[data], at[:-1], at[1:]) > 0)
+    return np.concatenate(capitals), np.concatenate(marks)
 
 
 def _cells(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
@@ -77,13 +92,13 @@ def _csr(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]
         words, row, column, count = _cells(texts.slice(some.start, some.stop - some.start))
         known = pa.concat_arrays([known, words.filter(pc.is_null(pc.index_in(words, value_set=known)))])
         place = pc.index_in(words, value_set=known).to_numpy(zero_copy_only=False)
-        parts.append((row + some.start, place[column], count))
+        parts.append([x.astype(np.int32) for x in (row + some.start, place[column], count)])
     row, column, count = map(np.concatenate, zip(*parts))
     order = np.argsort(-np.bincount(column, count, len(known)), kind="stable")
     place = np.empty(len(order), np.int32)
     place[order] = np.arange(len(order))
     return (known.take(pa.array(order)), np.searchsorted(row, np.arange(len(texts)), side="right"),
-            place[column], count.astype(np.int32))
+            place[column], count)
 
 
 def _local_shards(docs: DataFrame) -> DataFrame:
@@ -101,12 +116,9 @@ def _local_shards(docs: DataFrame) -> DataFrame:
                 part = batch.slice(held.start, held.stop - held.start)
                 row, ids, sources, texts, digests = part.columns
                 words, row_ends, columns, counts = _csr(texts)
-                blob = pa.concat_arrays([texts.cast(pa.large_binary())])
-                offsets = np.frombuffer(blob.buffers()[1], np.int64)[blob.offset:blob.offset + len(blob) + 1]
-                data = np.frombuffer(blob.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
-                at = offsets - offsets[0]
-                lists = [ids, sources, pc.utf8_length(texts).cast(pa.int64()), pa.array(_per_text(_CAPITAL[data], at)),
-                         pa.array(_per_text(_MARK[data], at) > 0), digests, words]
+                capitals, marked = _characters(texts)
+                lists = [ids, sources, pc.utf8_length(texts).cast(pa.int64()), pa.array(capitals),
+                         pa.array(marked), digests, words]
                 lists = [pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), v).cast(schema.field(n + 1).type)
                          for n, v in enumerate(lists)]
                 packed = [_packed(row_ends.astype(np.int64)), _packed(columns), _packed(counts)]
