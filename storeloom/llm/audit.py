@@ -28,7 +28,9 @@ from storeloom.llm.common import groups, text_of, written
 
 LETTERS = "ABCDE"
 #: Bytes of text in a shard, and in a step of building one; a longer text is one of its own.
-SHARD, STEP = 16 << 20, 2 << 20
+SHARD, STEP = 8 << 20, 2 << 20
+#: Words that a task numbers at a time.
+NUMBERED = 1 << 19
 
 _LOCAL = ("shard long, ids array<long>, parts array<string>, points array<long>, capitals array<long>, "
           "marked array<boolean>, digests array<binary>, words array<string>, "
@@ -129,18 +131,28 @@ def _local_shards(docs: DataFrame) -> DataFrame:
 
 
 def _dictionary(shards: DataFrame) -> DataFrame:
-    """``shard``, ``local``, ``global``: every distinct word of a shard with its number.
+    """``shard``, ``size``, ``local``, ``global``: the numbers of every distinct word of a shard.
 
-    Rows meet and are sorted by word, and a number is that of the task and of
-    the word in it. A word has one row for each shard, however frequent it is.
+    Words meet and are sorted, and a number is that of the first row of its word
+    in the task. A word has one row for each shard, however frequent it is. The
+    numbers go out as packed arrays of the words of a shard that a task has seen.
     """
     words = shards.select("shard", F.posexplode("words").alias("local", "word"))
     sorted_words = words.repartition("word").sortWithinPartitions("word")
-    ddl = "shard long, local int, global long"
+    ddl = "shard long, size int, local binary, global binary"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
 
+    def out(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        shard, local, number = map(np.concatenate, zip(*held))
+        order = np.argsort(shard, kind="stable")
+        shard, local, number = shard[order], local[order], number[order]
+        cuts = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+        rows = [(int(shard[i]), j - i, _packed(local[i:j]), _packed(np.diff(number[i:j], prepend=0)))
+                for i, j in zip(cuts, cuts[1:])]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+
     def run(batches):
-        base, last = None, None
+        base, last, held, size = None, None, [], 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -154,7 +166,13 @@ def _dictionary(shards: DataFrame) -> DataFrame:
                 fresh[0] = False
             numbers = base + np.cumsum(fresh)
             base, last = int(numbers[-1]), word[-1].as_py()
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(numbers)], schema=schema)
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), numbers))
+            size += len(numbers)
+            if size >= NUMBERED:
+                yield out(held)
+                held, size = [], 0
+        if held:
+            yield out(held)
 
     return sorted_words.withColumn("global", F.monotonically_increasing_id()).mapInArrow(run, ddl)
 
@@ -176,8 +194,10 @@ def term_matrix(docs: DataFrame) -> DataFrame:
 
     def join(own: pa.Table, words: pa.Table) -> pa.Table:
         held = own.to_pylist()[0]
-        number = np.empty(words.num_rows, np.int64)
-        number[words.column("local").to_numpy()] = words.column("global").to_numpy()
+        parts = words.to_pylist()
+        number = np.empty(sum(p["size"] for p in parts), np.int64)
+        for p in parts:
+            number[_unpacked(p["local"], p["size"], "i4")] = np.cumsum(_unpacked(p["global"], p["size"], "i8"))
         ends = _unpacked(held["row_ends"], len(held["ids"]), "i8")
         size = int(ends[-1])
         columns, counts = (_unpacked(held[c], size, "i4") for c in ("columns", "counts"))

@@ -155,6 +155,7 @@ def test_term_matrix(spark, monkeypatch):
     """Small shards: their word numbers are the same in all of them."""
     monkeypatch.setattr(audit, "SHARD", 5000)
     monkeypatch.setattr(audit, "STEP", 2000)
+    monkeypatch.setattr(audit, "NUMBERED", 50)
     rows = [(n, t, None, s, None) for n, (_, t, s) in enumerate(AUDITED)]
     docs = _docs(spark, rows).repartition(3)
     words, seen = {}, {}
