@@ -15,11 +15,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from storeloom.functions.numeric import round2
 from storeloom.layout import Layout
 from storeloom.operators import facts, kpis, ml, quality, serving, silver, stats, temporal
-from storeloom.plans import gold, prediction, refresh
+from storeloom.plans import gold, incremental, prediction, refresh
 from storeloom.plans.pipeline import run_pipeline, summary_of
 from storeloom.schemas import BRONZE, CLIENT_COLUMNS, GOLD_TABLES, PURCHASE_COLUMNS
 from storeloom.session import scratch_path, through_table
 from storeloom.sources import files, sinks, starschema
+from storeloom.sources.published import Store
 
 AS_OF = date(2001, 8, 2)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -109,6 +110,39 @@ def _predictions(spark: SparkSession, sf: str) -> DataFrame:
     return ml.predict_clients(_feature_table(spark, sf), *_models(spark, sf))
 
 
+# Limits of the three batches: each overlaps the one before.
+BATCH_LIMITS = ["1997-06-01", "1999-09-01"]
+
+
+def _batches(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """The purchases as three overlapping batches with late, wrong, corrected and deleted rows."""
+    rows = quality.dedup_by_key(starschema.purchases(spark, sf), "id_purchase", silver.PURCHASE_ORDER)
+    rows = through_table(rows, "unique").withColumn("deleted", F.lit(False))
+    key, day = F.col("id_purchase"), F.col("purchase_date")
+    early, middle = (F.lit(d).cast("date") for d in BATCH_LIMITS)
+    late, miscounted, misplaced, taken_back = key % 19 == 3, key % 13 == 5, key % 17 == 6, key % 101 == 7
+    quantity = F.when(miscounted, F.col("quantity") + 1).otherwise(F.col("quantity"))
+    price = F.when(misplaced, F.col("price") * 10).otherwise(F.col("price")).cast("decimal(18,2)")
+    first = rows.filter((day < early) & ~late).withColumns({
+        "quantity": quantity, "price": price, "total": (price * quantity).cast("decimal(18,2)"),
+        "id_client": F.when(misplaced, F.col("id_client") + 1).otherwise(F.col("id_client")),
+        "purchase_date": F.when(misplaced, F.date_sub(day, 400)).otherwise(day)})
+    second = rows.filter(((day >= F.date_sub(early, 30)) & (day < middle)) | ((day < early) & (late | miscounted)))
+    third = rows.filter(((day >= middle) | ((day < early) & misplaced)) & ~taken_back)
+    return [first, second, third.unionByName(rows.filter(taken_back).withColumn("deleted", F.lit(True)))]
+
+
+@lru_cache(maxsize=4)
+def _batched(spark: SparkSession, sf: str) -> Store:
+    """A store that has taken the three batches, the second one twice."""
+    store = Store(spark, scratch_path(spark, "incremental"))
+    for n, batch in enumerate(_batches(spark, sf), start=1):
+        incremental.apply_batch(store, f"batch-{n}", batch)
+        if n == 2:
+            incremental.apply_batch(store, "batch-2", batch)
+    return store
+
+
 # --- files and layers ------------------------------------------------------
 
 def scan_csv(spark, sf):
@@ -339,6 +373,41 @@ def monthly_growth(spark, sf):
         "year_month", "revenue_growth_pct", "orders_growth_pct", "customers_growth_pct")
 
 
+# --- incremental gold ------------------------------------------------------
+
+def incremental_gold(spark, sf):
+    store = _batched(spark, sf)
+    none = F.lit(None)
+
+    def part(df: DataFrame, table: str, key, **columns) -> DataFrame:
+        return df.select(F.lit(table).alias("table_name"), key.alias("key"), *[
+            columns.get(c, none).cast(kind).alias(c) for c, kind in {
+                "orders": "bigint", "quantity": "bigint", "revenue": "double", "customers": "bigint",
+                "low": "double", "high": "double", "first_day": "date", "last_day": "date"}.items()])
+
+    c = F.col
+    clients = part(incremental.client_totals(store), "clients", c("id_client").cast("string"),
+                   orders=c("total_purchases"), quantity=c("total_quantity"), revenue=c("total_spent"),
+                   low=c("min_order_value"), high=c("max_order_value"), first_day=c("first_purchase_date"),
+                   last_day=c("last_purchase_date"))
+    days = part(incremental.daily_totals(store), "days", c("date").cast("string"), orders=c("total_orders"),
+                quantity=c("total_quantity"), revenue=c("total_revenue"), customers=c("unique_customers"))
+    products = part(incremental.product_country_totals(store, starschema.clients(spark, sf)), "products",
+                    F.concat_ws("|", "product", "country"), orders=c("total_orders"), quantity=c("total_quantity"),
+                    revenue=c("total_revenue"), customers=c("unique_customers"), low=c("min_price"),
+                    high=c("max_price"))
+    return clients.unionByName(days).unionByName(products)
+
+
+def incremental_batches(spark, sf):
+    store = _batched(spark, sf)
+    return incremental.batch_reports(store).withColumn("versions", F.lit(store.version()))
+
+
+def monthly_partitions(spark, sf):
+    return incremental.read_purchases(_batched(spark, sf), "1997-03", "1997-08")
+
+
 # --- serving ---------------------------------------------------------------
 
 def global_kpis(spark, sf):
@@ -537,6 +606,10 @@ _QUERIES: dict[str, Query] = {
     "gold_summary": lambda s, d: stats.gold_summary(_tables(s, d)),
     "gold_flow": lambda s, d: _gold_run(s, d)[1],
 
+    "incremental_gold": incremental_gold,
+    "incremental_batches": incremental_batches,
+    "monthly_partitions": monthly_partitions,
+
     "rolling_7day": rolling_7day,
     "daily_growth": daily_growth,
     "weekly_growth": weekly_growth,
