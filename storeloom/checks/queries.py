@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from storeloom.functions.numeric import round2
 from storeloom.layout import Layout
-from storeloom.operators import facts, kpis, ml, quality, serving, silver, stats, temporal
+from storeloom.operators import analyses, facts, kpis, ml, quality, serving, silver, stats, temporal
 from storeloom.plans import gold, incremental, prediction, refresh
 from storeloom.plans.pipeline import run_pipeline, summary_of
 from storeloom.schemas import BRONZE, CLIENT_COLUMNS, GOLD_TABLES, PURCHASE_COLUMNS
@@ -606,6 +606,15 @@ _QUERIES: dict[str, Query] = {
     "gold_summary": lambda s, d: stats.gold_summary(_tables(s, d)),
     "gold_flow": lambda s, d: _gold_run(s, d)[1],
 
+    "cross_sell": _series(lambda sales: analyses.cross_sell(sales, min_support=0.02)),
+    "client_spells": _series(lambda sales: analyses.spells(sales, AS_OF)),
+    "retention_curve": _series(lambda sales: analyses.retention_curve(sales, AS_OF)),
+    "cohort_matrix": _series(lambda sales: analyses.cohort_matrix(sales, AS_OF)),
+    "rfm_scores": lambda s, d: analyses.rfm_scores(kpis.client_recency_frequency(_totals(s, d), AS_OF)),
+    "box_plots": _series(analyses.box_plots),
+    "sales_anomalies": lambda s, d: analyses.sales_anomalies(*reversed(_clean(s, d))),
+    "revenue_forecast": lambda s, d: analyses.revenue_forecast(*reversed(_clean(s, d)), AS_OF),
+
     "incremental_gold": incremental_gold,
     "incremental_batches": incremental_batches,
     "monthly_partitions": monthly_partitions,

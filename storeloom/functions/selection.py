@@ -14,6 +14,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from storeloom.session import through_table
+
 _STEPS_PER_OCTAVE = 4096
 
 
@@ -149,3 +151,29 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int,
     cut = cut.withColumnRenamed("_y", "_label")
     return (hashed.join(cut, F.col("_y").eqNullSafe(F.col("_label")), "left")
             .withColumn("is_train", flagged).drop("_u", "_y", "_label", "_cut"))
+
+
+def tiles(df: DataFrame, order: Sequence[str], groups: int, name: str) -> DataFrame:
+    """``df`` with ``name``: the number, from 1, of its n-tile in the order of ``order``.
+
+    Exact, without a window over all rows: rows are sorted in range partitions,
+    and the row counts of these, one number for each, give the rank of a
+    partition's first row. ``order`` should end in a unique column. The sorted
+    rows are written once, so that ranks hold.
+    """
+    ordered = through_table(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                            .withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    ordered = ordered.withColumn("_part", F.shiftright("_at", 33).cast("int"))
+    # One row per range partition.
+    sizes = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("n"), F.min("_at").alias("first")).collect()
+    before, shifts = 0, []
+    for row in sorted(sizes):
+        shifts.append((row["_part"], before - row["first"]))
+        before += row["n"]
+    shift = df.sparkSession.createDataFrame(shifts, "_part int, _shift bigint")
+    small, larger = divmod(before, groups)
+    # The first tiles have one row more than the others.
+    rank, edge = F.col("_at") + F.col("_shift"), larger * (small + 1)
+    tile = F.when(rank < edge, F.floor(rank / F.lit(small + 1))).otherwise(
+        larger + F.floor((rank - edge) / F.lit(max(small, 1)))) + 1
+    return ordered.join(shift, "_part").withColumn(name, tile.cast("int")).drop("_at", "_part", "_shift")
