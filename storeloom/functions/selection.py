@@ -6,6 +6,11 @@ on the map side and makes a frequent value one row. A monotone bucket function
 then narrows the search: the running count over buckets is small by
 construction, and only the buckets that hold a wanted rank are ordered inside.
 The counts feed both steps; Spark plans their shuffle once and reuses it.
+
+Values that are nearly all different, such as the spend of clients or hashes of
+ids, are not counted one by one: ``narrowed_at_ranks`` counts them per bucket on
+the map side, splits the bucket of a wanted rank into buckets of its own range,
+and again, and orders only what is left.
 """
 
 from __future__ import annotations
@@ -17,6 +22,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from storeloom.session import through_table
 
 _STEPS_PER_OCTAVE = 4096
+#: Buckets into which the range of a bucket is split, and how often.
+_SPLITS, _ROUNDS = 4096, 2
 
 
 def magnitude_bucket(value: Column) -> Column:
@@ -124,10 +131,74 @@ def approx_quantiles(df: DataFrame, value: str, probabilities: Sequence[float],
         F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("quantiles"))
 
 
+def _inside(rows: DataFrame, wanted: DataFrame, by: Sequence[str]) -> DataFrame:
+    """The rows within an interval of their group, once for each, with the interval as ``x``.
+
+    ``wanted`` has a row for each group and rank. Without groups the intervals
+    are one scalar; else they are joined by group.
+    """
+    intervals = F.collect_list(F.struct("i", "low", "high", "before", "rank", "n"))
+    if by:
+        held = wanted.groupBy(*[F.col(c).alias(f"_of_{i}") for i, c in enumerate(by)]).agg(intervals.alias("_all"))
+        same = F.lit(True)
+        for i, c in enumerate(by):
+            same = same & F.col(c).eqNullSafe(F.col(f"_of_{i}"))
+        rows = rows.join(held, same)
+    else:
+        rows = rows.withColumn("_all", wanted.agg(intervals).scalar())
+    hit = F.filter("_all", lambda x: F.col("value").between(x["low"], x["high"]))
+    return rows.select(*by, "value", F.explode(hit).alias("x"))
+
+
+def narrowed_at_ranks(df: DataFrame, value: str, by: Sequence[str], ranks: Callable[[Column], list[Column]],
+                      n_ranks: int, bucket: Callable[[Column], Column] = magnitude_bucket) -> DataFrame:
+    """As :func:`values_at_ranks` of a column's values, for values that are nearly all different.
+
+    Each round counts on the map side, at most 4096 buckets for each rank and
+    group. Buckets are ranges, so a rank's bucket is known by its smallest and
+    largest value. A first bucket spans 2 ** -12 of a double's magnitude or
+    2 ** 48 hashes, and each round splits its actual range by 4096, so of doubles
+    some 2 ** 16 different ones at most are left to be ordered, wherever the
+    values lie. The rows are read once for each round.
+    """
+    by = list(by)
+    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("value"))
+    ends = [F.count(F.lit(1)).alias("size"), F.min("value").alias("low"), F.max("value").alias("high")]
+    counted = rows.groupBy(*by, bucket(F.col("value")).alias("bucket")).agg(*ends)
+    upto, whole = Window.partitionBy(*by).orderBy("bucket"), Window.partitionBy(*by)
+    places = counted.select(*by, "size", "low", "high", (F.sum("size").over(upto) - F.col("size")).alias("before"),
+                            F.sum("size").over(whole).alias("n"))
+    wanted = places.select("*", F.posexplode(F.array(*ranks(F.col("n")))).alias("i", "rank"))
+    hit = (F.col("before") <= F.col("rank")) & (F.col("rank") < F.col("before") + F.col("size"))
+    wanted = wanted.filter(hit).drop("size")
+    for _ in range(_ROUNDS):
+        low, high = F.col("x.low").cast("double"), F.col("x.high").cast("double")
+        at = F.try_divide(F.col("value").cast("double") - low, high - low)
+        split = F.coalesce(F.least(F.floor(at * _SPLITS), F.lit(_SPLITS - 1)), F.lit(0)).alias("bucket")
+        counted = _inside(rows, wanted, by).groupBy(*by, "x.i", "x.rank", "x.n", "x.before", split).agg(*ends)
+        upto = Window.partitionBy(*by, "i").orderBy("bucket")
+        wanted = counted.select(*by, "i", "rank", "n", "size", "low", "high",
+                                (F.col("before") + F.sum("size").over(upto) - F.col("size")).alias("before")
+                                ).filter(hit).drop("size")
+    left = _inside(rows, wanted, by).groupBy(*by, "x.i", "x.rank", "x.n", "x.before", "value").agg(
+        F.count(F.lit(1)).alias("size"))
+    upto = Window.partitionBy(*by, "i").orderBy("value")
+    found = left.select(*by, "i", "rank", "n", "value", "size",
+                        (F.col("before") + F.sum("size").over(upto) - F.col("size")).alias("before")).filter(hit)
+    return found.groupBy(*by).agg(F.max("n").alias("n"), F.array(*[
+        F.max(F.when(F.col("i") == i, F.col("value"))) for i in range(n_ranks)]).alias("at_ranks"))
+
+
 def exact_median(df: DataFrame, value: str, approx: bool = False) -> DataFrame:
-    """One row, one column ``median``."""
-    find = approx_quantiles if approx else exact_quantiles
-    return find(df, value, [0.5]).select(F.element_at("quantiles", 1).alias("median"))
+    """One row, one column ``median``; values may all be different."""
+    if approx:
+        return approx_quantiles(df, value, [0.5]).select(F.element_at("quantiles", 1).alias("median"))
+
+    def middle(n: Column) -> list[Column]:
+        return [F.floor((n - 1) / F.lit(2)), F.ceil((n - 1) / F.lit(2))]
+
+    low, high = (F.element_at("at_ranks", i).cast("double") for i in (1, 2))
+    return narrowed_at_ranks(df, value, [], middle, 2).select((low + (high - low) * 0.5).alias("median"))
 
 
 def hash_split(df: DataFrame, key: str, fraction: float, seed: int,
@@ -144,7 +215,7 @@ def hash_split(df: DataFrame, key: str, fraction: float, seed: int,
     def last_train(n: Column) -> list[Column]:
         return [F.floor(n * F.lit(fraction)) - 1]
 
-    cut = (values_at_ranks(value_counts(hashed, "_u", ["_y"]), ["_y"], last_train, 1, hash_bucket)
+    cut = (narrowed_at_ranks(hashed, "_u", ["_y"], last_train, 1, hash_bucket)
            .select("_y", F.element_at("at_ranks", 1).alias("_cut")))
     flagged = F.coalesce(F.col("_u") <= F.col("_cut"), F.lit(False))
     # A NULL label is a label too.

@@ -77,3 +77,39 @@ def test_counts_are_shuffled_once(spark):
     found.collect()
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert "ReusedExchange" in plan
+
+
+def test_a_narrow_range_takes_several_buckets(spark):
+    """200,000 different values in a range that the first buckets do not tell apart."""
+    df = spark.range(200_000, numPartitions=8).select((1000 + F.col("id") * 5e-7).alias("v"), (F.col("id") % 2).alias("g"))
+    assert df.select(s.magnitude_bucket(F.col("v"))).distinct().count() <= 2
+    rows = df.select("v").withColumnRenamed("v", "value")
+    wanted = df.agg(F.lit(0).alias("i"), F.min("v").alias("low"), F.max("v").alias("high"), F.lit(0).alias("before"),
+                    F.lit(0).alias("rank"), F.count("v").alias("n"))
+    place = F.floor((F.col("value") - F.col("x.low")) / (F.col("x.high") - F.col("x.low")) * s._SPLITS)
+    sizes = s._inside(rows, wanted, []).groupBy(place).count()
+    assert sizes.count() > 4000 and sizes.agg(F.max("count")).first()[0] < 60
+    assert s.exact_median(df, "v").first().median == pytest.approx(1000 + 99_999.5 * 5e-7, rel=1e-15)
+    found = s.narrowed_at_ranks(df, "v", ["g"], lambda n: [F.lit(0), n - 1, F.floor(n / 2)], 3)
+    got = {r.g: (r.n, [round((v - 1000) / 5e-7) for v in r.at_ranks]) for r in found.collect()}
+    assert got == {0: (100_000, [0, 199_998, 100_000]), 1: (100_000, [1, 199_999, 100_001])}
+
+
+@pytest.mark.parametrize("name", sorted(CASES))
+def test_narrowed_ranks(spark, name):
+    values = [float(v) for v in CASES[name]]
+    df = spark.createDataFrame([(v, None if i % 3 else "g") for i, v in enumerate(values)] + [(None, "g")],
+                               "v double, g string").repartition(5)
+    assert s.exact_median(df, "v").first().median == pytest.approx(float(np.median(values)), rel=1e-12)
+    found = s.narrowed_at_ranks(df, "v", ["g"], lambda n: [F.lit(0), F.floor(n / 2), n - 1, n + 5], 4)
+    for r in found.collect():
+        mine = sorted(v for i, v in enumerate(values) if (None if i % 3 else "g") == r.g)
+        assert (r.n, list(r.at_ranks)) == (len(mine), [mine[0], mine[len(mine) // 2], mine[-1], None])
+
+
+def test_narrowed_ranks_of_whole_numbers(spark):
+    """The whole range of 64-bit numbers, whose differences do not fit one."""
+    values = sorted([-(1 << 63), (1 << 63) - 1, 0, -1, 1] + [random.Random(i).randrange(-(1 << 63), 1 << 63) for i in range(300)])
+    df = spark.createDataFrame([(v,) for v in values], "v bigint")
+    found = s.narrowed_at_ranks(df, "v", [], lambda n: [F.lit(0), F.floor(n / 2), n - 1], 3, s.hash_bucket).first()
+    assert list(found.at_ranks) == [values[0], values[len(values) // 2], values[-1]]
