@@ -98,8 +98,9 @@ EMAIL = r"'^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}\n?\z'"
 
 
 def whole(x: str) -> str:
-    """A whole number from text; digits after the point are cut."""
-    return f"CAST(trunc(TRY_CAST({x} AS DECIMAL(28,6))) AS BIGINT)"
+    """A whole number from text; a number with a fraction is none."""
+    number = f"TRY_CAST({x} AS DECIMAL(38,18))"
+    return f"CAST(CASE WHEN {number} = trunc({number}) THEN {number} END AS BIGINT)"
 
 
 def day(x: str) -> str:

@@ -11,8 +11,15 @@ from storeloom.schemas import MONEY
 
 
 def cents(column: Column | str) -> Column:
+    """Whole cents, exact over the whole range of money.
+
+    Amounts below 10^13 go through a double, whose error times 100 is under half
+    a cent there; larger ones through a decimal, which is slower.
+    """
     c = F.col(column) if isinstance(column, str) else column
-    return F.rint(c.cast("double") * 100).cast("bigint")
+    amount = c.cast("double")
+    return F.when(F.abs(amount) < 1e13, F.rint(amount * 100).cast("bigint")).otherwise(
+        F.round(c.cast("decimal(38,4)") * 100).try_cast("bigint"))
 
 
 def from_cents(column: Column) -> Column:

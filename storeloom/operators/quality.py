@@ -64,12 +64,14 @@ def number(column: str) -> Column:
     """The column as its silver number type, NULL when it is no number.
 
     Whole-number columns, ids included, go through a decimal, so that ``2.0``
-    is read as 2. A price keeps its digits until it is multiplied.
+    is read as 2; with a fraction, as in ``2.9``, a value is no whole number and
+    is never cut to one. A price keeps its digits until it is multiplied.
     """
     kind = NUMERIC_TYPES[column]
     if kind == "bigint":
-        return F.coalesce(F.col(column).try_cast("bigint"),
-                          F.col(column).try_cast("decimal(38,6)").try_cast("bigint"))
+        exact = F.col(column).cast("string").try_cast("decimal(38,18)")
+        return F.coalesce(F.col(column).cast("string").try_cast("bigint"),
+                          F.when(exact == F.floor(exact), exact.try_cast("bigint")))
     return F.col(column).try_cast(kind)
 
 
@@ -147,7 +149,7 @@ def normalize_strings(df: DataFrame, trim: Sequence[str] = (),
 
 
 def coerce_numeric(df: DataFrame) -> DataFrame:
-    """Numbers from text; rows with text that is no number are dropped."""
+    """Numbers from text; rows with text that is no number are dropped, as are fractions of whole numbers."""
     present = [c for c in NUMERIC_TYPES if c in df.columns]
     return df.withColumns({c: number(c) for c in present}).na.drop("any", subset=present)
 

@@ -1,10 +1,12 @@
 """Boundary cases of the silver steps and the golden waterfall."""
 
 from datetime import date
+from decimal import Decimal
 
 import pytest
 from storeloom.checks import queries as checks
 from pyspark.sql import functions as F
+from storeloom.functions.numeric import cents
 from storeloom.operators import quality as q
 from storeloom.operators import silver
 from storeloom.schemas import CLIENT_COLUMNS, PURCHASE_COLUMNS
@@ -172,3 +174,24 @@ def test_numbers_and_dates_that_used_to_be_lost(spark, rows):
         (1, 2, 24.69), (2, 3_000_000_000, 3e9)]
     report = dict(rows(silver.quality_purchases(raw, ids, TODAY)))
     assert (report["invalid_dates"], report["total_recalculated"], report["final_rows"]) == (5, 0, 2)
+
+
+def test_fractions_are_no_whole_numbers(spark):
+    """A fraction is never cut: the row goes and is counted; 2.0 is 2."""
+    rows = [("1", "1", "p", "1.25", "2.9", "2024-01-01", "3.63"), ("2", "1", "p", "1.25", "2.0", "2024-01-01", "2.50"),
+            ("3.7", "1", "p", "1", "1", "2024-01-01", "1"), ("4.0", "1.000", "p", "1", "3", "2024-01-01", "3"),
+            ("5", "1.5", "p", "1", "1", "2024-01-01", "1"), ("6", "1", "p", "1", "2.0000000001", "2024-01-01", "2")]
+    bronze = purchases(spark, *rows)
+    clients = spark.createDataFrame([(1,)], "id_client bigint")
+    kept = silver.clean_purchases(bronze, clients, date(2024, 6, 1)).collect()
+    assert sorted((r.id_purchase, r.id_client, r.quantity, float(r.total)) for r in kept) == [(2, 1, 2, 2.5), (4, 1, 3, 3.0)]
+    metrics = {r.metric: r.value for r in silver.quality_purchases(bronze, clients, date(2024, 6, 1)).collect()}
+    assert (metrics["invalid_numbers"], metrics["final_rows"], metrics["total_recalculated"]) == (4, 2, 0)
+    assert q.coerce_numeric(bronze).count() == 2
+
+
+def test_cents_are_exact(spark):
+    amounts = ["99999999999999.99", "-99999999999999.99", "9999999999999.99", "10000000000000.01", "0.29", "-0.01",
+               "9999999999999999.99", "70368744177664.29"]
+    df = spark.createDataFrame([(Decimal(a),) for a in amounts], "v decimal(18,2)")
+    assert [r[0] for r in df.select(cents("v")).collect()] == [int(Decimal(a) * 100) for a in amounts]
