@@ -42,12 +42,21 @@ def _null_mask(columns: Sequence[str]) -> Column:
     return reduce(lambda a, b: a + b, bits)
 
 
+def _read_once(rows: DataFrame, columns: Sequence[Column]) -> DataFrame:
+    """``columns``, each computed once for a row.
+
+    As rows of an array they are no expressions that a later filter or join
+    condition could take in and repeat.
+    """
+    return rows.select(F.inline(F.array(F.struct(*columns))))
+
+
 def tag_clients(bronze: DataFrame, as_of: date) -> DataFrame:
     """Typed clients with ``drop_reason``, ``null_mask`` and ``was_future``."""
-    read = bronze.select(
+    read = _read_once(bronze, [
         _null_mask(CLIENT_COLUMNS).alias("null_mask"),
-        q.number("id_client").alias("id_client"), "name", "email",
-        q.parsed_date("subscription_date").alias("subscription_date"), "country")
+        q.number("id_client").alias("id_client"), F.col("name"), F.col("email"),
+        q.parsed_date("subscription_date").alias("subscription_date"), F.col("country")])
     dated = (F.col("null_mask") == 0) & F.col("subscription_date").isNotNull()
     reason = _first_failure([
         ("null_values", F.col("null_mask") != 0),
@@ -68,10 +77,10 @@ def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> Data
     Orphans and duplicates need other rows and are not tagged here.
     """
     numbers = ["id_purchase", "id_client", "price", "quantity", "total"]
-    read = bronze.select(
-        _null_mask(PURCHASE_COLUMNS).alias("null_mask"), "product",
+    read = _read_once(bronze, [
+        _null_mask(PURCHASE_COLUMNS).alias("null_mask"), F.col("product"),
         q.parsed_date("purchase_date").alias("purchase_date"),
-        *[q.number(c).alias(c) for c in numbers])
+        *[q.number(c).alias(c) for c in numbers]])
     dated = (F.col("null_mask") == 0) & F.col("purchase_date").isNotNull()
     negative = (F.col("price") < 0) | (F.col("quantity") < min_quantity)
     fresh = q.recalculated_total()

@@ -105,3 +105,14 @@ def test_product_analytics_reads_the_fact_once(spark, sf):
     plan = kpis.product_analytics(fact)._jdf.queryExecution().executedPlan().toString()
     final = plan.split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") == 1 and "Join" not in final and "Expand" not in final
+
+
+@pytest.mark.parametrize("name", ["clean_purchases", "clean_clients"])
+def test_cleaning_parses_each_value_once(spark, sf, name):
+    """No filter or join condition repeats the parsing of texts."""
+    plan = plan_of(checks.queries()[name](spark, sf))
+    nodes = plan.replace("\n", " ").split("+- ")
+    for node in nodes:
+        if node.lstrip("*(0123456789) :").startswith(("Filter", "SortMergeJoin", "BroadcastHashJoin", "ShuffledHashJoin")):
+            assert "RLIKE(CASE" not in node and "try_cast(id" not in node and "trim(" not in node
+    assert "Generate inline" in plan
