@@ -88,23 +88,15 @@ def _norm(line):
 
 
 def _removed(spark, docs, percent=80):
-    """Line numbers to remove per row; SimHashes from their definition, text hashes from Spark."""
+    """Line numbers to remove per row, from the edit similarity of all pairs of lines; text hashes from Spark."""
     norms = sorted({n for _, t in docs for n in map(_norm, (t or "").split("\n")) if n})
-    words = sorted({w for n in norms for w in n.split(" ")})
-    frame = spark.createDataFrame([(w,) for w in words], "w string").selectExpr("w", "xxhash64(w) AS h")
-    hashes = {r.w: r.h & ((1 << 64) - 1) for r in frame.collect()}
     texts = spark.createDataFrame([(t or "",) for _, t in docs], "t string").selectExpr("t", "xxhash64(t) AS h")
     text_hash = {r.t: r.h for r in texts.collect()}
-    sims = {}
-    for n in norms:
-        held = [hashes[w] for w in n.split(" ")]
-        sims[n] = sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in held) > len(held))
-    links = []
-    for a, b in itertools.combinations(norms, 2):
-        longest = max(len(a), len(b))
-        if (sims[a] ^ sims[b]).bit_count() <= 3 and abs(len(a) - len(b)) * 100 <= longest * (100 - percent):
-            if _distance(a, b) * 100 <= longest * (100 - percent):
-                links.append((a, b))
+    frame = spark.createDataFrame([(n,) for n in norms], "n string").repartition(8)
+    pairs = frame.selectExpr("n AS x", "char_length(n) AS p").crossJoin(frame.selectExpr("n AS y", "char_length(n) AS q"))
+    allowed = f"cast(greatest(p, q) * {100 - percent}L div 100 AS int)"
+    links = [tuple(r) for r in pairs.filter(f"x < y AND abs(p - q) <= {allowed} AND levenshtein(x, y, {allowed}) >= 0")
+             .select("x", "y").collect()]
     group = _groups(norms, links)
     places = {}
     for i, t in {(i, t or "") for i, t in docs}:
