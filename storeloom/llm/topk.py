@@ -26,15 +26,19 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from storeloom.llm.common import written
 
-#: Scaled components beyond this take no part: their products would not fit a long score.
-LARGEST = 1 << 26
 
 
 def scaled(vector: Column, factor: int = 256) -> Column:
-    """``floor(factor * x)`` per component as doubles; null where the vector takes no part."""
-    whole = F.transform(vector, lambda x: F.floor(F.lit(float(factor)) * F.when(
-        F.abs(x.cast("double")) <= LARGEST / factor, x.cast("double"))))
-    return F.when(F.forall(whole, lambda x: x.isNotNull()), whole)
+    """``floor(factor * x)`` per component; null where the vector takes no part.
+
+    That is where a component is null or not finite, or its scaled value no
+    64-bit number.
+    """
+    def wide(x: Column) -> Column:
+        return F.lit(float(factor)) * x.cast("double")
+
+    usable = F.forall(vector, lambda x: x.isNotNull() & (F.abs(wide(x)) < float(1 << 63)))
+    return F.when(usable, F.transform(vector, lambda x: F.floor(wide(x))))
 
 
 def _matrix(column: pd.Series, width: int) -> np.ndarray:
@@ -50,11 +54,17 @@ def _slices(width: int, lists: int) -> list[slice]:
 
 
 def _products(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Exact integer products: through doubles where every sum stays below 2**53."""
+    """Exact integer products.
+
+    Through doubles where every sum stays below 2**53, in 64 bits below 2**63,
+    else in Python's integers, which have no bound.
+    """
     if vectors.size and queries.size:
         most = int(np.abs(vectors).max()) * int(np.abs(queries).max()) * vectors.shape[1]
         if most < 1 << 53:
             return (vectors.astype(np.float64) @ queries.T.astype(np.float64)).astype(np.int64)
+        if most >= 1 << 62:
+            return vectors.astype(object) @ queries.T.astype(object)
     return vectors @ queries.T
 
 
@@ -73,9 +83,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, lists: int = 4,
     A score is the integer inner product of the scaled vectors; shorter vectors
     count as ended by zeros. Ties go to the smaller id. Rows with the query's
     own id are no candidates; other repeated ids count row by row. A row takes
-    no part if its id or vector is null or a component is null, not finite or
-    beyond ``LARGEST``; neither do repeated query ids after the first (the one
-    that sorts first). Queries with fewer than ``k`` candidates get all of
+    no part if its id or vector is null or a component is null, not finite or,
+    scaled, beyond 64 bits; neither do repeated query ids after the first (the
+    one that sorts first). Scores are exact however large the components are;
+    one beyond 64 bits, which the result cannot hold, is an error. Queries with
+    fewer than ``k`` candidates get all of
     them. Empty tables give an empty result; other columns are ignored.
     """
     def usable(df: DataFrame) -> DataFrame:
@@ -152,7 +164,7 @@ def _search(vectors: DataFrame, queries, chosen: list[slice], width: int, k: int
             for scores in local:
                 high = scores >= uniform
                 entry |= high
-                bound += np.where(high, scores, uniform.astype(np.float64))
+                bound += np.where(high, scores, uniform.astype(np.float64)).astype(np.float64)
             # The bound is in doubles; one unit and a relative margin keep it safe.
             open_ = entry & (bound * (1 + np.sign(bound) * 1e-9) + 1 >= least)
             open_ &= vec_ids[:, None] != ids[None, :]

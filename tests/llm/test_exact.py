@@ -99,6 +99,27 @@ def test_topk_edges(spark):
     assert sorted(map(tuple, small.collect())) == sorted(want)
 
 
+def test_topk_of_large_components(spark):
+    """Finite vectors of any size take part, and scores are exact beyond doubles."""
+    rows = [(50, [3e5, 1.0]), (1, [1.0, 0.0]), (2, [1.0, 2.0 ** -8]), (3, [-1e7, 1e12]), (4, [5e7, -7.5]), (5, [0.0, 2e13]),
+            (6, [1e9, -2.95e14])]  # both products of the last are beyond 64 bits, their sum is not
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.top_k(vectors, vectors.filter("vec_id = 50"), k=5).orderBy("rank").collect()]
+    parts = {i: [int(np.floor(256 * x)) for x in v] for i, v in rows}
+    scored = sorted((-sum(x * y for x, y in zip(parts[50], parts[i])), i) for i in (1, 2, 3, 4, 5, 6))[:5]
+    assert got == [(50, n, i, -score) for n, (score, i) in enumerate(scored, 1)]
+
+
+def test_repeats_keep_genuine_replacement_characters(spark):
+    same = "é" * 40
+    rows = [(1, "a" + same), (2, "ab\ufffdcd" + same + "z\ufffd"), (3, "x\ufffd" + "ê" + same[1:] + "y"),
+            (4, "q" + same + "ï")]  # the first byte of the last character is covered too
+    out = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 50)
+    got = {r.doc_id: r.text for r in out.collect()}
+    assert got[1] == rows[0][1] and got[2] == "ab\ufffdcdz\ufffd" and got[4] == "q"
+    assert got[3].startswith("x\ufffdê") and got[3].endswith("y") and len(got[3]) < 6
+
+
 def test_url_edges(spark):
     urls = ["http://Example.COM/en/x", "https://www.example.com/en/", "ftp://a.b.example.com/en", "x", None, "",
             "http://com", "http://com/", "http://notexample.com/en/1", "http://a.net/es/?q#f", "http://é.net/fr/é",
