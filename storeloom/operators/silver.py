@@ -99,7 +99,12 @@ def tag_purchases(bronze: DataFrame, as_of: date, min_quantity: int = 0) -> Data
 
 
 def clean_clients(bronze: DataFrame, as_of: date) -> DataFrame:
-    kept = tag_clients(bronze, as_of).where(F.col("drop_reason").isNull()).select(*CLIENT_COLUMNS)
+    return clean_tagged_clients(tag_clients(bronze, as_of))
+
+
+def clean_tagged_clients(tagged: DataFrame) -> DataFrame:
+    """The clean table from tagged clients, which a report can read as well."""
+    kept = tagged.where(F.col("drop_reason").isNull()).select(*CLIENT_COLUMNS)
     return (q.dedup_by_key(kept, "id_client", CLIENT_ORDER)
             .transform(q.dedup_by_email)
             .transform(lambda d: q.normalize_strings(d, trim=["name", "country"], lower=["email"]))
@@ -108,8 +113,12 @@ def clean_clients(bronze: DataFrame, as_of: date) -> DataFrame:
 
 def clean_purchases(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
                     min_quantity: int = 0) -> DataFrame:
-    kept = (tag_purchases(bronze, as_of, min_quantity)
-            .where(F.col("drop_reason").isNull()).select(*PURCHASE_COLUMNS))
+    return clean_tagged_purchases(tag_purchases(bronze, as_of, min_quantity), valid_ids)
+
+
+def clean_tagged_purchases(tagged: DataFrame, valid_ids: DataFrame) -> DataFrame:
+    """The clean table from tagged purchases, which a report can read as well."""
+    kept = tagged.where(F.col("drop_reason").isNull()).select(*PURCHASE_COLUMNS)
     return (q.orphan_semi_join(kept, valid_ids)
             .transform(lambda d: q.dedup_by_key(d, "id_purchase", PURCHASE_ORDER))
             .transform(lambda d: q.normalize_strings(d, trim=["product"]))
@@ -138,8 +147,12 @@ def client_quality_row(bronze: DataFrame, as_of: date) -> DataFrame:
     Rejected rows share a NULL key and shrink to a few rows per task before
     the first shuffle; the shuffles are those of cleaning itself.
     """
+    return tagged_client_quality_row(tag_clients(bronze, as_of))
+
+
+def tagged_client_quality_row(tagged: DataFrame) -> DataFrame:
     kept = F.col("drop_reason").isNull()
-    by_id = (tag_clients(bronze, as_of)
+    by_id = (tagged
              .groupBy(F.when(kept, F.col("id_client")).alias("id_client"), "drop_reason", "null_mask")
              .agg(F.count(F.lit(1)).alias("rows"),
                   F.count_if("was_future").alias("future"),
@@ -160,8 +173,11 @@ def client_quality_row(bronze: DataFrame, as_of: date) -> DataFrame:
 def purchase_quality_row(bronze: DataFrame, valid_ids: DataFrame, as_of: date,
                          min_quantity: int = 0) -> DataFrame:
     """One row, one column per metric and per null count, from one scan of bronze."""
+    return tagged_purchase_quality_row(tag_purchases(bronze, as_of, min_quantity), valid_ids)
+
+
+def tagged_purchase_quality_row(tagged: DataFrame, valid_ids: DataFrame) -> DataFrame:
     known = valid_ids.select(F.col("id_client").alias("valid_id"), F.lit(True).alias("known"))
-    tagged = tag_purchases(bronze, as_of, min_quantity)
     # Rejected rows look for no client; a hash of theirs that is no id spreads them over the tasks.
     ok = F.col("drop_reason").isNull()
     wanted = F.when(ok, F.col("id_client").cast("string")).otherwise(

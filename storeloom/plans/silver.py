@@ -12,6 +12,7 @@ from storeloom.operators import silver
 from storeloom.operators.quality import NULL_TOKENS, tokens_to_null
 from storeloom.plans.parallel import run_together
 from storeloom.schemas import SILVER
+from storeloom.session import through_table
 from storeloom.sources import sinks
 from storeloom.sources.files import read_bronze
 
@@ -31,18 +32,20 @@ def silver_flow(spark: SparkSession, layout: Layout, as_of: date, min_quantity:
     Bronze keeps texts such as ``N/A``; they count as missing from here on.
     """
     bronze = {t: tokens_to_null(df, null_tokens) for t, df in read_bronze(spark, layout).items()}
-    sinks.write_parquet(silver.clean_clients(bronze["clients"], as_of),
-                        layout.path("silver", "clients"))
+    # Each bronze table is read and parsed once; the clean table and its report share the tagged rows.
+    tagged_clients, tagged_purchases = run_together(spark, [
+        lambda: through_table(silver.tag_clients(bronze["clients"], as_of), "tagged-clients"),
+        lambda: through_table(silver.tag_purchases(bronze["purchases"], as_of, min_quantity), "tagged-purchases")])
+    sinks.write_parquet(silver.clean_tagged_clients(tagged_clients), layout.path("silver", "clients"))
     clients = read_silver_table(spark, layout, "clients")
 
     def purchases() -> None:
-        clean = silver.clean_purchases(bronze["purchases"], clients, as_of, min_quantity)
-        sinks.write_parquet(clean, layout.path("silver", "purchases"))
+        sinks.write_parquet(silver.clean_tagged_purchases(tagged_purchases, clients),
+                            layout.path("silver", "purchases"))
 
     def report() -> None:
-        row = silver.quality_report(
-            silver.client_quality_row(bronze["clients"], as_of),
-            silver.purchase_quality_row(bronze["purchases"], clients, as_of, min_quantity))
+        row = silver.quality_report(silver.tagged_client_quality_row(tagged_clients),
+                                    silver.tagged_purchase_quality_row(tagged_purchases, clients))
         sinks.write_json_report(row, layout.export("silver", "quality_report", "json"),
                                 stamp="report_timestamp")
 

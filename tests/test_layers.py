@@ -170,3 +170,24 @@ def test_unfinished_landing_is_landed_again(spark, tmp_path):
     assert files.bronze_ingest(spark, source, layout, if_absent=True)["clients"].count() == 1
     _source(tmp_path, "")
     assert files.bronze_ingest(spark, source, layout, if_absent=True)["purchases"].count() == 1
+
+
+def test_silver_reads_and_parses_bronze_once(spark, sf, monkeypatch):
+    from storeloom.operators import silver as operators
+    from storeloom.plans import silver as plans
+    layout = Layout(scratch_path(spark, "lake"))
+    source = checks._source_csv(spark, starschema.dirty_clients(spark, sf), starschema.dirty_purchases(spark, sf))
+    files.bronze_ingest(spark, source, layout)
+    calls, scans = [], []
+    for name in ("tag_clients", "tag_purchases"):
+        def tag(bronze, *a, real=getattr(operators, name), name=name):
+            calls.append(name)
+            out = real(bronze, *a)
+            scans.append(out._jdf.queryExecution().executedPlan().toString().count("FileScan"))
+            return out
+        monkeypatch.setattr(operators, name, tag)
+    tables = plans.silver_flow(spark, layout, checks.AS_OF, export_csv=False)
+    assert sorted(calls) == ["tag_clients", "tag_purchases"] and scans == [1, 1]
+    report = files.scan_json_report(spark, layout.export("silver", "quality_report", "json")).first()
+    assert report.purchases.final_rows == tables["purchases"].count() > 0
+    assert report.clients.final_rows == tables["clients"].count()
