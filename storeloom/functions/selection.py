@@ -159,10 +159,11 @@ def narrowed_at_ranks(df: DataFrame, value: str, by: Sequence[str], ranks: Calla
     largest value. A first bucket spans 2 ** -12 of a double's magnitude or
     2 ** 48 hashes, and each round splits its actual range by 4096, so of doubles
     some 2 ** 16 different ones at most are left to be ordered, wherever the
-    values lie. The rows are read once for each round.
+    values lie. The values are written to a scratch table, which each round reads.
     """
     by = list(by)
-    rows = df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("value"))
+    # Written once, so that the rounds do not compute the values again.
+    rows = through_table(df.where(F.col(value).isNotNull()).select(*by, F.col(value).alias("value")), "values")
     ends = [F.count(F.lit(1)).alias("size"), F.min("value").alias("low"), F.max("value").alias("high")]
     counted = rows.groupBy(*by, bucket(F.col("value")).alias("bucket")).agg(*ends)
     upto, whole = Window.partitionBy(*by).orderBy("bucket"), Window.partitionBy(*by)
