@@ -13,15 +13,20 @@ from storeloom.llm.components import components
 Confirm = Callable[[DataFrame, DataFrame, str], DataFrame]
 
 
-def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str], Column],
-                 confirm: Confirm, name: str,
+#: Of two columns that describe members, and the kind of key they share, whether a link is possible.
+Likely = Callable[[str, str, Column], Column]
+
+
+def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Likely, confirm: Confirm, name: str,
                  refine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-                 closer: Callable[[str, str], Column] | None = None) -> DataFrame:
+                 closer: Likely | None = None) -> DataFrame:
     """Confirmed links ``(a, b)`` that connect whatever the links inside buckets connect.
 
-    ``keys``: ``key`` and a long ``id``, which may be in many buckets; ``nodes``:
-    ``id`` and ``m``, what is known of it. ``likely(x, y)`` says of two columns
-    like ``m`` whether a link is possible; ``confirm(pairs, ids, name)`` returns
+    ``keys``: ``key``, its ``kind`` (a byte) and a long ``id``, which may be in
+    many buckets; ``nodes``: ``id`` and ``m``, what is known of it.
+    ``likely(x, y, kind)`` says of two columns like ``m`` whether a link is
+    possible, ``kind`` being the largest of the keys by which the two meet (in
+    the second comparison, that of one key); ``confirm(pairs, ids, name)`` returns
     the pairs ``(a, b)`` that are links, ``ids`` being all members of buckets.
     Every member is compared with one of its bucket: the one that meets most
     others in all its buckets, as an original does among its copies. Only
@@ -37,14 +42,14 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str],
     place = F.struct("degree", -F.col("id"))
     heads = (crowd.join(known.select("id", "degree"), "id").groupBy("key")
              .agg(F.max_by("id", place).alias("head")))
-    pairs = crowd.join(heads, "key").filter("id <> head").select(
-        F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+    pairs = crowd.join(heads, "key").filter("id <> head").groupBy(
+        F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).agg(F.max("kind").alias("kind"))
     first = written(_likely_pairs(pairs, known, likely), f"{name}-first")
     links = confirm(first, ids, f"{name}-first")
 
     grouped = components(links, f"{name}-groups")
-    apart = crowd.select("key", "id").join(grouped, "id", "left").select(
-        "key", "id", F.coalesce("component", "id").alias("component"))
+    apart = crowd.select("key", "kind", "id").join(grouped, "id", "left").select(
+        "key", "kind", "id", F.coalesce("component", "id").alias("component"))
     apart = written(apart, f"{name}-placed")
     mixed = (apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("key"))
@@ -54,13 +59,13 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Callable[[str, str],
         known = written(refine(apart.select("id").distinct(), known), f"{name}-refined")
     apart = written(apart.join(known, "id"), f"{name}-apart")
     rest = apart.alias("x").join(apart.alias("y"), (F.col("x.key") == F.col("y.key"))
-                                 & (F.col("x.component") < F.col("y.component")) & (closer or likely)("x.m", "y.m"))
+                                 & (F.col("x.component") < F.col("y.component")) & (closer or likely)("x.m", "y.m", F.col("x.kind")))
     rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = written(rest.join(first, ["a", "b"], "left_anti"), f"{name}-rest")
     return links.unionByName(confirm(rest, ids, f"{name}-rest"))
 
 
-def _likely_pairs(pairs: DataFrame, known: DataFrame, likely: Callable[[str, str], Column]) -> DataFrame:
+def _likely_pairs(pairs: DataFrame, known: DataFrame, likely: Likely) -> DataFrame:
     x = known.select(F.col("id").alias("a"), F.col("m").alias("x"))
     y = known.select(F.col("id").alias("b"), F.col("m").alias("y"))
-    return pairs.join(x, "a").join(y, "b").filter(likely("x", "y")).select("a", "b")
+    return pairs.join(x, "a").join(y, "b").filter(likely("x", "y", F.col("kind"))).select("a", "b")

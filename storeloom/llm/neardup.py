@@ -190,7 +190,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, width: int = SHINGLE) ->
 
 def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> DataFrame:
     """Confirmed links ``(a, b)`` between classes."""
-    keys = classes.select(F.explode("bands").alias("key"), "id")
+    keys = classes.select(F.explode("bands").alias("key"), F.lit(0).cast("byte").alias("kind"), "id")
     nodes = classes.select("id", F.struct(F.col("n_shingles").alias("n"), "bits").alias("m"))
     sets: list[DataFrame] = []
 
@@ -208,13 +208,13 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> Dat
         return found.select("id", F.struct("m.n", "m.bits", (F.col("m.n") - F.coalesce("alone", F.lit(0)))
                                            .alias("shared")).alias("m"))
 
-    def likely(a: str, b: str) -> Column:
+    def likely(a: str, b: str, kind: Column) -> Column:
         return _sizes_allow(a, b, percent) & _close(a, b)
 
-    def closer(a: str, b: str) -> Column:
+    def closer(a: str, b: str, kind: Column) -> Column:
         """Two sets share at most what the one that shares less has in common with all others."""
         most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
-        return likely(a, b) & (most * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - most) * percent)
+        return likely(a, b, kind) & (most * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - most) * percent)
 
     return bucket_links(keys, nodes, likely, confirm, "near", refine, closer)
 
