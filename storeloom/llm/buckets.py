@@ -18,8 +18,7 @@ Likely = Callable[[str, str, Column], Column]
 
 
 def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Likely, confirm: Confirm, name: str,
-                 refine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
-                 closer: Likely | None = None) -> DataFrame:
+                 meet: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Confirmed links ``(a, b)`` that connect whatever the links inside buckets connect.
 
     ``keys``: ``key``, its ``kind`` (a byte) and a long ``id``, which may be in
@@ -31,8 +30,9 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Likely, confirm: Con
     Every member is compared with one of its bucket: the one that meets most
     others in all its buckets, as an original does among its copies. Only
     members of one bucket that are in different components after that are
-    compared with each other, by ``closer`` on what ``refine(ids, nodes)`` knows
-    of them, where given. So no link is lost that would join components.
+    compared with each other: all that are ``likely``, or the pairs ``(a, b)`` that
+    ``meet`` finds among rows of ``key``, ``kind``, ``head``, ``id``, ``component``
+    and ``m``. So no link is lost that would join components.
     """
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     crowd = written(keys.join(shared, "key"), f"{name}-crowd")
@@ -40,8 +40,8 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Likely, confirm: Con
     known = written(nodes.join(degree, "id").select("id", "degree", "m"), f"{name}-nodes")
     ids = known.select("id")
     place = F.struct("degree", -F.col("id"))
-    heads = (crowd.join(known.select("id", "degree"), "id").groupBy("key")
-             .agg(F.max_by("id", place).alias("head")))
+    heads = written(crowd.join(known.select("id", "degree"), "id").groupBy("key")
+                    .agg(F.max_by("id", place).alias("head")), f"{name}-heads")
     pairs = crowd.join(heads, "key").filter("id <> head").groupBy(
         F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).agg(F.max("kind").alias("kind"))
     first = written(_likely_pairs(pairs, known, likely), f"{name}-first")
@@ -54,13 +54,14 @@ def bucket_links(keys: DataFrame, nodes: DataFrame, likely: Likely, confirm: Con
     mixed = (apart.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
              .filter("low < high").select("key"))
     apart = written(apart.join(mixed, "key", "left_semi"), f"{name}-mixed")
-    known = known.select("id", "m")
-    if refine:
-        known = written(refine(apart.select("id").distinct(), known), f"{name}-refined")
-    apart = written(apart.join(known, "id"), f"{name}-apart")
-    rest = apart.alias("x").join(apart.alias("y"), (F.col("x.key") == F.col("y.key"))
-                                 & (F.col("x.component") < F.col("y.component")) & (closer or likely)("x.m", "y.m", F.col("x.kind")))
-    rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
+    apart = apart.join(known.select("id", "m"), "id")
+    if meet:
+        rest = meet(written(apart.join(heads, "key"), f"{name}-apart"))
+    else:
+        apart = written(apart, f"{name}-apart")
+        rest = apart.alias("x").join(apart.alias("y"), (F.col("x.key") == F.col("y.key")) & (
+            F.col("x.component") < F.col("y.component")) & likely("x.m", "y.m", F.col("x.kind")))
+        rest = rest.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
     rest = written(rest.join(first, ["a", "b"], "left_anti"), f"{name}-rest")
     return links.unionByName(confirm(rest, ids, f"{name}-rest"))
 

@@ -8,9 +8,11 @@ the full sets, and components are found. Members of one bucket that are still
 in different components are then compared with each other, so no link between
 members of a bucket is lost and a bucket of copies costs one comparison each.
 The bits of a signature (one per minimum) drop pairs far below the threshold
-before the sets are fetched. In the second comparison so do the shingles that
-no other set has: copies with several changes each are told apart by them
-without looking at the pairs.
+before the sets are fetched. The second comparison knows what each set shares with the
+bucket's smallest member and what it adds. Two sets that add nothing in common
+share at most what the one that shares less has of that member, so copies with
+several changes each are told apart without looking at the pairs; others meet
+by the shingles they both add.
 """
 
 from __future__ import annotations
@@ -199,24 +201,40 @@ def _links(docs: DataFrame, classes: DataFrame, percent: int, width: int) -> Dat
             sets.append(_sets_of(docs, classes, ids, width))
         return _confirmed(sets[0], pairs, percent, name)
 
-    def refine(ids: DataFrame, known: DataFrame) -> DataFrame:
-        """Adds how many shingles of a set are in any other set of ``ids``."""
-        tokens = sets[0].join(ids, "id").select("id", F.explode("shingles").alias("token"))
-        alone = (tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
-                 .filter("n = 1").groupBy("id").agg(F.count(F.lit(1)).alias("alone")))
-        found = known.join(ids, "id").join(alone, "id", "left")
-        return found.select("id", F.struct("m.n", "m.bits", (F.col("m.n") - F.coalesce("alone", F.lit(0)))
-                                           .alias("shared")).alias("m"))
-
     def likely(a: str, b: str, kind: Column) -> Column:
         return _sizes_allow(a, b, percent) & _close(a, b)
 
-    def closer(a: str, b: str, kind: Column) -> Column:
-        """Two sets share at most what the one that shares less has in common with all others."""
-        most = F.least(F.col(f"{a}.shared"), F.col(f"{b}.shared"))
-        return likely(a, b, kind) & (most * 100 >= (F.col(f"{a}.n") + F.col(f"{b}.n") - most) * percent)
-
-    return bucket_links(keys, nodes, likely, confirm, "near", refine, closer)
+    def meet(apart: DataFrame) -> DataFrame:
+        """Pairs that may be links, from what each set shares with the head of its bucket and what it adds."""
+        told = apart.select("head", "id", "component", "m").dropDuplicates(["head", "id"])
+        told = (told.join(sets[0].select("id", F.col("shingles").alias("x")), "id")
+                .join(sets[0].select(F.col("id").alias("head"), F.col("shingles").alias("y")), "head"))
+        told = told.withColumn("added", F.array_except("x", "y"))
+        told = written(told.select("head", "id", "component", "added", F.struct(
+            "m.n", "m.bits", (F.size("x") - F.size("added")).alias("shared")).alias("m")), "near-told")
+
+        def possible(more: Column) -> Column:
+            """Two sets have in common what both share with the head at most, and ``more`` that is not in it."""
+            most = F.least(F.col("x.m.shared"), F.col("y.m.shared")) + more
+            return most * 100 >= (F.col("x.m.n") + F.col("y.m.n") - most) * percent
+
+        apart_too = (F.col("x.component") < F.col("y.component")) & likely("x.m", "y.m", F.lit(0))
+        pair = [F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")]
+        placed = apart.select("key", "head", "id").join(told.drop("added"), ["head", "id"])
+        alike = placed.alias("x").join(placed.alias("y"), (F.col("x.key") == F.col("y.key")) & apart_too
+                                       & possible(F.lit(0))).select(*pair)
+        # Beyond that a pair needs shingles in common that the head lacks.
+        tokens = told.select("head", F.explode("added").alias("token"), "id", "component", "m")
+        extra = (F.col("x.m.n") - F.col("x.m.shared"), F.col("y.m.n") - F.col("y.m.shared"))
+        common = tokens.alias("x").join(tokens.alias("y"), (F.col("x.head") == F.col("y.head")) & (
+            F.col("x.token") == F.col("y.token")) & apart_too & possible(F.least(*extra)))
+        counted = common.groupBy("x.head", *pair).agg(
+            F.count(F.lit(1)).alias("more"), F.first("x.m").alias("p"), F.first("y.m").alias("q"))
+        both = F.least("p.shared", "q.shared") + F.col("more")
+        counted = counted.filter(both * 100 >= (F.col("p.n") + F.col("q.n") - both) * percent)
+        return alike.union(counted.select("a", "b")).distinct()
+
+    return bucket_links(keys, nodes, likely, confirm, "near", meet)
 
 
 def _sizes_allow(a: str, b: str, percent: int) -> Column:
