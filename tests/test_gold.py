@@ -150,3 +150,18 @@ def test_nan_to_null(spark):
     inf = float("inf")
     df = spark.createDataFrame([(float("nan"),), (inf,), (-inf,), (None,), (1.0,)], "v double")
     assert [r.v for r in serving.nan_to_null(df).collect()] == [None, None, None, None, 1.0]
+
+
+def test_grand_totals_shuffle_no_products(spark, sf):
+    """Totals and distinct counts keep nulls apart, and no row goes out for each client, product and country."""
+    rows = [(1, 10, "a", "x", 2, 1.50), (2, 10, "b", "x", 1, 2.25), (3, 11, "a", "y", 1, 4.00),
+            (4, None, None, None, 3, 0.25), (5, 11, "a", "y", 2, 1.00)]
+    fact = spark.createDataFrame(rows, "id_purchase bigint, id_client bigint, product string, country string, "
+                                       "quantity int, t double").withColumn("total", F.col("t").cast("decimal(18,2)"))
+    out = stats.overall_metrics(fact)
+    assert {r.metric: r.value for r in out.collect()} == {
+        "total_revenue": 9.0, "total_orders": 5, "total_customers": 2, "total_products": 2, "total_countries": 2,
+        "avg_order_value": 1.8, "avg_items_per_order": 1.8}
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    grouped = [line for line in plan.splitlines() if "Aggregate [" in line and "id_client#" in line.split("],")[0]]
+    assert grouped and not any("product#" in line.split("],")[0] for line in grouped)
