@@ -6,10 +6,9 @@ whole rows. A shard sends each distinct n-gram of its texts once, with its count
 in the shard's trusted texts; sums, continuation counts, context totals,
 discounts and the orders below are aggregations and joins of tables sharded by
 n-gram. What the model says of the n-grams of a shard goes back to it by another
-join, and the shard gives every whole text its perplexity. Nothing is gathered
-on the driver or broadcast but the row of discounts
-of an order. A text is rejected if its perplexity is above a quantile of the
-trusted texts of its language.
+join, and the shard gives every whole text its perplexity. No table of n-grams
+is gathered on the driver. A text is rejected if its perplexity is above a
+quantile of the trusted texts of its language.
 
 ``grams``, ``train`` and ``bits`` are the same model as one dense table over an
 alphabet of 32 classes of bytes; no query uses them.
