@@ -33,6 +33,8 @@ SEED = 42
 GBT_ROUNDS, GBT_RATE, GBT_DEPTH = 100, 0.1, 5
 FOREST_TREES, FOREST_DEPTH = 100, 10
 LOW_RISK, HIGH_RISK = 0.3, 0.7
+#: Training rows that make another task worth its start; a tree level is a job over all of them.
+TASK_ROWS = 20_000
 SEGMENTS = ["High Value at Risk", "Champions", "At Risk", "Loyal", "Standard"]
 
 PREDICTION_COLUMNS = ["id_client", "name", "email", "country", "total_purchases", "total_spent",
@@ -117,6 +119,21 @@ def scale_features(features: DataFrame, columns: list[str] | None = None) -> Dat
 
 # --- models ----------------------------------------------------------------
 
+def training_rows(data: DataFrame, columns: list[str]) -> DataFrame:
+    """The model's columns of the training rows, written once and spread over all cores.
+
+    A table of features is small in bytes, so its files alone would give a few
+    tasks, whatever the number of rows. Rows lie by the hash of their client and
+    in the order of ids, so that a model does not depend on the order of the files.
+    """
+    inputs = [f"x_{c}" for c in columns]
+    rows = through_table(data.where("is_train").select("id_client", *inputs, "label"), "training")
+    tasks = min(data.sparkSession.sparkContext.defaultParallelism, rows.count() // TASK_ROWS)
+    if tasks > 1:
+        rows = rows.repartition(tasks, "id_client").sortWithinPartitions("id_client", *inputs, "label")
+    return rows.select(*inputs, "label")
+
+
 @dataclass(frozen=True)
 class Fitted:
     """A fitted pipeline, its feature columns and its predictions on held-out rows."""
@@ -132,8 +149,8 @@ def train_churn_model(features: DataFrame, rounds: int = GBT_ROUNDS, rate: float
     """Boosted trees for ``is_churned``.
 
     The label is a function of ``days_since_last_purchase``; ``drop_leaky``
-    leaves that feature out. ``features`` is scanned once per tree level, so
-    give a written table.
+    leaves that feature out. ``features`` is scanned for the split, the training
+    rows and whatever reads the held-out ones, so give a written table.
     """
     columns = [c for c in CHURN_FEATURES if not (drop_leaky and c == LEAKY_FEATURE)]
     data = model_input(stratified_split(features, seed=seed), columns).withColumn(
@@ -142,7 +159,7 @@ def train_churn_model(features: DataFrame, rounds: int = GBT_ROUNDS, rate: float
                              predictionCol="churn_prediction", maxIter=rounds, stepSize=rate,
                              maxDepth=depth, seed=seed)
                .setProbabilityCol("churn_vector").setRawPredictionCol("churn_margin"))
-    model = Pipeline(stages=[*scaling_stages(columns, "churn"), boosted]).fit(data.where("is_train"))
+    model = Pipeline(stages=[*scaling_stages(columns, "churn"), boosted]).fit(training_rows(data, columns))
     return Fitted(model, columns, model.transform(data.where(~F.col("is_train"))))
 
 
@@ -156,7 +173,7 @@ def train_clv_model(features: DataFrame, trees: int = FOREST_TREES, depth: int =
                                    predictionCol="clv_prediction", numTrees=trees,
                                    maxDepth=depth, minInstancesPerNode=2,
                                    featureSubsetStrategy="all", seed=seed)
-    model = Pipeline(stages=[*scaling_stages(CLV_FEATURES, "clv"), forest]).fit(data.where("is_train"))
+    model = Pipeline(stages=[*scaling_stages(CLV_FEATURES, "clv"), forest]).fit(training_rows(data, CLV_FEATURES))
     return Fitted(model, CLV_FEATURES, model.transform(data.where(~F.col("is_train"))))
 
 

@@ -65,6 +65,25 @@ def test_training_repeats(features, models):
         models[0].held_out.select(*key).collect())
 
 
+def test_split_is_read_without_a_shuffle(features):
+    plan = ml.stratified_split(features)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in plan and "Window" not in plan
+
+
+def test_training_rows_use_all_cores(spark, features, monkeypatch):
+    monkeypatch.setattr(ml, "TASK_ROWS", 50)
+    data = ml.model_input(ml.stratified_split(features), ml.CLV_FEATURES).withColumn("label", F.col("total_spent"))
+    rows = ml.training_rows(data, ml.CLV_FEATURES)
+    own = [*[f"x_{c}" for c in ml.CLV_FEATURES], "label"]
+    assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert sorted(rows.collect()) == sorted(data.where("is_train").select(*own).collect())
+    # Files in another order give the same model.
+    turned = through_table(features.repartition(3, "country"), "turned")
+    first, other = (ml.train_clv_model(f, trees=3).held_out.select("id_client", "clv_prediction").collect()
+                    for f in (features, turned))
+    assert sorted(first) == sorted(other)
+
+
 def test_leaky_feature_can_be_left_out(features):
     fitted = ml.train_churn_model(features, rounds=2, drop_leaky=True)
     assert ml.LEAKY_FEATURE not in fitted.columns
