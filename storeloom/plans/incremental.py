@@ -88,17 +88,21 @@ def _values(df: DataFrame, column: str) -> list:
     return [r[0] for r in df.select(column).distinct().collect()]
 
 
-def _deltas(run: Run, incoming: DataFrame) -> DataFrame:
-    """Rows to add with ``sign`` 1, rows to take back with -1, and repeated ones with 0.
+def _deltas(run: Run, changes: DataFrame) -> DataFrame:
+    """Rows to add with ``sign`` 1, rows to take back with -1, repeated ones with 0, deletions of unknown ids with null.
 
     Only ids and months of the stored purchases are read to find the months in
-    question; whole rows are read of those months alone.
+    question; whole rows are read of those months alone. Of the changes of an id
+    the first counts; they are ranked where the join with the stored rows has
+    brought them, so the batch is shuffled once and not written before.
     """
     schema = SILVER["purchases"]
-    ids = incoming.select("id_purchase")
-    months = _values(run.read("purchases", schema).select("id_purchase", "part").join(ids, "id_purchase"), "part")
-    old = (run.read("purchases", schema, months).join(ids, "id_purchase", "left_semi")
-           .select(F.col("id_purchase").alias("id"), F.struct(*PURCHASE_COLUMNS).alias("old")))
+    ids = changes.select("id_purchase")
+    months = _values(run.read("purchases", schema).select("id_purchase", "part").join(ids, "id_purchase", "left_semi"),
+                     "part")
+    incoming = dedup_by_key(changes, "id_purchase", [*PURCHASE_ORDER, "deleted"])
+    old = run.read("purchases", schema, months).select(F.col("id_purchase").alias("id"),
+                                                       F.struct(*PURCHASE_COLUMNS).alias("old"))
     both = incoming.join(old, incoming["id_purchase"] == old["id"], "left").select(
         F.struct(*PURCHASE_COLUMNS).alias("new"), "deleted", "old")
     same = ~F.col("deleted") & F.col("old").eqNullSafe(F.col("new"))
@@ -107,7 +111,7 @@ def _deltas(run: Run, incoming: DataFrame) -> DataFrame:
             F.struct(F.when(F.col("deleted"), None).otherwise(1).alias("sign"), F.col("new").alias("row")),
             F.struct(F.when(F.col("old").isNotNull(), -1).alias("sign"), F.col("old").alias("row"))),
             lambda x: x["sign"].isNotNull()))
-    return both.select(F.col("old").isNotNull().alias("known"), F.explode(signed).alias("x")).select(
+    return both.select(F.col("old").isNotNull().alias("known"), F.explode_outer(signed).alias("x")).select(
         "known", "x.sign", "x.row.*")
 
 
@@ -154,16 +158,20 @@ def _update(run: Run, state: State, deltas: DataFrame) -> None:
     touched = _values(deltas.select(state.part().alias("part")), "part")
     old = run.read(state.name, state.schema, touched).drop("part")
     new = _folded(state, old, deltas)
+    names = state.schema.names
     if state.lows:
         new = through_table(new, state.name)
-        found = _extremes(state, new.filter("again").select(*state.keys), run.read("purchases", SILVER["purchases"]))
-        same = F.col("again")
-        for c in state.keys:
-            same = same & F.col(c).eqNullSafe(F.col(f"r_{c}"))
-        ends = [*state.lows, *state.highs]
-        new = new.join(found, same, "left").withColumns(
-            {k: F.when(F.col("again"), F.col(f"r_{k}")).otherwise(F.col(k)) for k in ends})
-    run.replace(state.name, new.select(*state.schema.names, state.part().alias("part")), touched)
+        again = new.filter("again")
+        if not again.isEmpty():
+            # Only the keys in question take part in the joins, not the whole state.
+            found = _extremes(state, again.select(*state.keys), run.read("purchases", SILVER["purchases"]))
+            same = F.lit(True)
+            for c in state.keys:
+                same = same & F.col(c).eqNullSafe(F.col(f"r_{c}"))
+            again = again.join(found, same, "left").withColumns(
+                {k: F.col(f"r_{k}") for k in [*state.lows, *state.highs]})
+            new = new.filter("NOT again").select(*names).unionByName(again.select(*names))
+    run.replace(state.name, new.select(*names, state.part().alias("part")), touched)
 
 
 def apply_batch(store: Store, batch_id: str, changes: DataFrame) -> DataFrame:
@@ -190,21 +198,21 @@ def apply_batch(store: Store, batch_id: str, changes: DataFrame) -> DataFrame:
     changes = changes.withColumn("deleted", F.coalesce("deleted", F.lit(False)))
     kept = changes.filter("id_purchase IS NOT NULL AND purchase_date IS NOT NULL").select(
         *[F.col(f.name).cast(f.dataType) for f in SILVER["purchases"].fields], "deleted")
-    incoming = through_table(dedup_by_key(kept, "id_purchase", [*PURCHASE_ORDER, "deleted"]), "incoming")
     run = store.start()
-    all_rows = through_table(_deltas(run, incoming), "deltas")
+    all_rows = through_table(_deltas(run, kept), "deltas")
     deltas = all_rows.filter("sign <> 0").drop("known")
 
     before = F.lit(store.read("batches", schema).agg(F.max("high_water")).first()[0]).cast("date")
     plus, minus = F.col("sign") == 1, F.col("sign") == -1
     counts = all_rows.agg(
+        # A correction is two rows, any other id is one.
+        (F.count(F.lit(1)) - F.count_if(plus & F.col("known"))).alias("received"),
         F.count_if(plus & ~F.col("known")).alias("added"), F.count_if(plus & F.col("known")).alias("corrected"),
         (F.count_if(minus) - F.count_if(plus & F.col("known"))).alias("deleted"),
         F.count_if(F.col("sign") == 0).alias("repeated"),
         F.count_if(plus & F.coalesce(F.col("purchase_date") < before, F.lit(False))).alias("late"),
         F.max(F.when(F.col("sign") >= 0, F.col("purchase_date"))).alias("last"))
-    received = incoming.agg(F.count(F.lit(1))).scalar().alias("received")
-    report = counts.select(F.lit(batch_id).alias("batch_id"), received, "added", "corrected", "deleted", "repeated",
+    report = counts.select(F.lit(batch_id).alias("batch_id"), "received", "added", "corrected", "deleted", "repeated",
                            "late", F.greatest("last", before).alias("high_water"))
 
     months = _values(deltas.select(_month().alias("part")), "part")

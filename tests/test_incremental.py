@@ -43,6 +43,18 @@ def store(spark):
     return Store(spark, scratch_path(spark, "store"))
 
 
+def test_a_batch_is_not_written_before_its_join(spark, store, monkeypatch):
+    names, through = [], incremental.through_table
+    monkeypatch.setattr(incremental, "through_table", lambda df, name: names.append(name) or through(df, name))
+    monkeypatch.setattr(incremental, "_extremes", lambda *_: pytest.fail("no key has lost its extremes"))
+    # Twice the same id, and an unknown one that is taken back.
+    rows = [_row(1), _row(1, quantity=5), _row(2), _row(3, deleted=True)]
+    report = apply_batch(store, "b", _frame(spark, rows)).first()
+    assert (report.received, report.added, report.deleted, report.repeated) == (3, 2, 0, 0)
+    assert "incoming" not in names
+    assert _found(store) == _expected(spark, [rows[0], rows[2]])
+
+
 def test_random_batches_equal_a_rebuild(spark, store):
     rng = random.Random(5)
     held = {}
