@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import uuid
 import zlib
 
@@ -241,6 +242,29 @@ def test_window_groups():
         assert all(len(v) == 1 for v in held.values()) and len(set.union(*held.values())) == len(held)
 
 
+def test_suffixes_take_few_sorts(monkeypatch):
+    sorts, argsort = [], np.argsort
+    monkeypatch.setattr(repeats.np, "argsort", lambda *a, **k: sorts.append(1) or argsort(*a, **k))
+    symbols = np.append(np.tile(np.arange(2, 258, dtype=np.uint16), 40), np.uint16(0))
+    repeats.window_groups(symbols, 50)
+    # 6 symbols at first, then 12, 24, 48 and 96; one sort of the transform.
+    assert len(sorts) <= 6
+
+
+def test_equal_segments_are_hashed_in_parts():
+    rnd = np.random.default_rng(3)
+    count = rnd.integers(1, 40, 60_000)
+    sizes = count + 49
+    flat = rnd.integers(97, 123, int(sizes.sum())).astype(np.uint8)
+    doc, anchor = np.arange(len(count)), np.arange(len(count), dtype=np.uint64)
+    tracemalloc.start()
+    lowest = repeats._smallest(doc, anchor, count, flat, 50)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (lowest == np.repeat(doc, count)).all()
+    assert peak < 16 * len(flat)
+
+
 def _check_pieces(rows, ids, window=1024):
     placed, sequences = {}, {}
     for doc, start, part, total, sequence, offset in rows:
