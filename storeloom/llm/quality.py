@@ -3,12 +3,15 @@
 Every byte is a symbol of its own, so texts of all scripts are told apart, and
 the tables of n-grams grow with the corpus. Documents are packed into shards of
 whole rows. A shard sends each distinct n-gram of its texts once, with its count
-in the shard's trusted texts; sums, continuation counts, context totals,
-discounts and the orders below are aggregations and joins of tables sharded by
-n-gram. What the model says of the n-grams of a shard goes back to it by another
-join, and the shard gives every whole text its perplexity. No table of n-grams
-is gathered on the driver. A text is rejected if its perplexity is above a
-quantile of the trusted texts of its language.
+in the shard's trusted texts, to the bucket of the three bytes before its last.
+All n-grams of a context, and all that end in one n-gram of four bytes, are in
+one bucket, which so knows sums, continuation counts and context totals of the
+orders above four; of four bytes and fewer the tables are aggregations and joins
+by n-gram. What the model says of the n-grams of a shard goes back to it, and
+the shard, which stays where it was written, gives every whole text its
+perplexity. N-grams travel in sorted blocks, one for each shard and bucket. No
+table of n-grams is gathered on the driver. A text is rejected if its perplexity
+is above a quantile of the trusted texts of its language.
 
 ``grams``, ``train`` and ``bits`` are the same model as one dense table over an
 alphabet of 32 classes of bytes; no query uses them.
@@ -16,19 +19,25 @@ alphabet of 32 classes of bytes; no query uses them.
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.ipc  # noqa: F401
-from pyspark.sql import DataFrame, Window, functions as F
+import zstandard
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from storeloom.llm.common import groups, text_of, written
+from storeloom.llm.common import groups, shared_folder, text_of, written
 
 BYTES, ORDER = 256, 6
-#: Bytes of text in a shard.
-SHARD = 8 << 20
+#: Orders above this one are counted inside buckets.
+BASE = 4
+#: Bytes of text in a shard; bytes whose n-grams are sorted together; n-grams that are merged together.
+SHARD, SORTED, MERGED = 32 << 20, 1 << 20, 1 << 20
 #: The dense table's alphabet and order.
 SYMBOLS, DENSE_ORDER = 32, 4
 SPACE, CAPITAL, DIGIT, STOP, MARK, BEYOND = range(26, 32)
@@ -77,21 +86,28 @@ def gram_counts(texts: DataFrame, order: int = DENSE_ORDER) -> DataFrame:
     return texts.select(text_of()).mapInArrow(run, "gram int, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
-def _discounts(counts: DataFrame) -> DataFrame:
-    """One row ``d1, d2, d3``: the modified discounts, from how many n-grams occur 1 to 4 times.
+def _discounts(counts: DataFrame, by: str | None = None) -> DataFrame:
+    """``d1, d2, d3``: the modified discounts, from how many n-grams occur 1 to 4 times.
 
-    Where one of these is 0, as with few symbols and much text, 0.5, 1 and 1.5.
+    Where one of these is 0, as with few symbols and much text, 0.5, 1 and 1.5;
+    so is a single one that would not be above 0, as with many copies, since
+    it would give n-grams that were not seen no probability at all. Without ``by`` there is one row, and one of ``counts`` for each n-gram; else one for
+    each value of ``by``, ``times`` being how many n-grams occur ``n`` times.
     """
-    n1, n2, n3, n4 = (F.count_if(F.col("n") == i).cast("double") for i in (1, 2, 3, 4))
-    held = counts.agg(n1.alias("n1"), n2.alias("n2"), n3.alias("n3"), n4.alias("n4"))
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    keys = [by] if by else []
+    if not by:
+        counts = counts.select("n", F.lit(1).alias("times"))
+    n1, n2, n3, n4 = (F.coalesce(F.sum(F.when(F.col("n") == i, F.col("times"))), F.lit(0)).cast("double")
+                      for i in (1, 2, 3, 4))
+    held = counts.groupBy(*keys).agg(n1.alias("n1"), n2.alias("n2"), n3.alias("n3"), n4.alias("n4"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
     usable = F.least("n1", "n2", "n3", "n4") > 0
 
     def discount(i: int):
-        value = i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}")
-        return F.when(usable, F.greatest(F.lit(0.0), value)).otherwise(F.lit(i / 2)).alias(f"d{i}")
+        value = i - F.try_divide((i + 1) * y * F.col(f"n{i + 1}"), F.col(f"n{i}"))
+        return F.when(usable & (value > 0), value).otherwise(F.lit(i / 2)).alias(f"d{i}")
 
-    return held.select(*[discount(i) for i in (1, 2, 3)])
+    return held.select(*keys, *[discount(i) for i in (1, 2, 3)])
 
 
 def train(trusted: DataFrame, order: int = DENSE_ORDER) -> DataFrame:
@@ -159,10 +175,101 @@ def byte_grams(text: str, order: int = ORDER) -> np.ndarray:
     return out
 
 
+def _grams_of(texts: list[str], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """``byte_grams`` of some texts one after another, and how many each has."""
+    lead = b" " * (order - 1)
+    data = [t.encode("utf-8", "surrogatepass") for t in texts]
+    sizes = np.array([len(d) for d in data], dtype=np.int64)
+    flat = np.frombuffer(lead + lead.join(data), np.uint8)
+    out = np.zeros(max(0, len(flat) - order + 1), dtype=np.int64)
+    for i in range(order):
+        out = out * BYTES + flat[i:i + len(out)]
+    inside = np.ones(len(out), dtype=bool)
+    # No n-gram ends in the spaces before the next text.
+    ends = np.cumsum(sizes + order - 1)[:-1]
+    inside[(ends[:, None] - np.arange(1, order)[None, :]).ravel()] = False
+    return out[inside], sizes
+
+
+def _turned(gram: np.ndarray, order: int) -> np.ndarray:
+    """N-grams with their context backwards, nearest byte first, then the last byte; again, and it is undone.
+
+    So an n-gram's order puts both its contexts and the n-grams it ends in side by side.
+    """
+    out = gram & 255
+    for i in range(1, order):
+        out |= ((gram >> (8 * i)) & 255) << (8 * (order - i))
+    return out
+
+
+def _bucket(near: np.ndarray | Column, buckets: int):
+    """The bucket of a number of ``BASE - 1`` bytes at most, in numpy or in Spark."""
+    if isinstance(near, Column):
+        return F.pmod(F.shiftright(near * F.lit(2654435761), 16), F.lit(buckets)).cast("int")
+    return ((near * 2654435761) >> 16) % buckets
+
+
+def _buckets(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    """Columns of some numbers, byte by byte of all, compressed."""
+    planes = [np.ascontiguousarray(c).view(np.uint8).reshape(len(c), -1).T for c in columns]
+    return zstandard.ZstdCompressor(level=3).compress(np.concatenate(planes).tobytes())
+
+
+def _unpack(data: bytes, *types: type) -> list[np.ndarray]:
+    widths = [np.dtype(t).itemsize for t in types]
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(sum(widths), -1)
+    edges = np.cumsum([0, *widths])
+    return [np.ascontiguousarray(planes[a:b].T).view(t).ravel() for a, b, t in zip(edges, edges[1:], types)]
+
+
+def _summed(gram: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams in order, and their sums."""
+    order_of = np.argsort(gram)
+    gram = gram[order_of]
+    heads = np.flatnonzero(np.diff(gram, prepend=-1))
+    return gram[heads], np.add.reduceat(n[order_of], heads) if len(heads) else n[:0]
+
+
+def _merged(parts: Iterable[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of some parts in order, and their sums; memory grows with the distinct ones."""
+    none = np.zeros(0, np.int64)
+    held, size = [(none, none)], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= max(MERGED, len(held[0][0])):
+            held, size = [_summed(*map(np.concatenate, zip(*held)))], 0
+    return _summed(*map(np.concatenate, zip(*held)))
+
+
+def _merged_blocks(blocks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    return _merged(_unpack(data, np.int64, np.int64) for data in blocks)
+
+
+def _levels(key: np.ndarray, n: np.ndarray, order: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Turned n-grams of a bucket in order, their counts, and where in the next entry what they end in stands.
+
+    The first entry is of ``order`` bytes, the last of ``BASE``, or of ``order`` where that is less.
+    """
+    out = []
+    for _ in range(order, BASE, -1):
+        below, place = np.unique(((key >> 16) << 8) | (key & 255), return_inverse=True)
+        out.append((key, n, place))
+        # Continuation counts: in how many contexts the shorter n-gram occurs.
+        key, n = below, np.bincount(place[n > 0], minlength=len(below)).astype(np.int64)
+    return [*out, (key, n, None)]
+
+
 def _shards(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``shard``, ``ids`` and ``rows``: ``columns`` of some rows as a compressed Arrow stream, written.
+    """``shard``, ``ids`` and ``rows``: ``columns`` of some rows as a compressed Arrow stream.
 
-    The text, null being empty, is the stream's last column.
+    The text, null being empty, is the stream's last column. The table is
+    bucketed by shard in the shared folder, so that no join or group by shard
+    shuffles texts.
     """
     ddl = "shard long, ids array<long>, rows binary"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
@@ -170,29 +277,56 @@ def _shards(docs: DataFrame, columns: list[str]) -> DataFrame:
                        *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], text_of().alias("_text"))
 
     def run(batches):
+        options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
             for held in groups(pc.binary_length(batch.column(batch.num_columns - 1)).to_pylist(), SHARD):
                 part = batch.slice(held.start, held.stop - held.start)
                 own = part.select(list(range(2, part.num_columns)))
                 sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, own.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                with pa.ipc.new_stream(sink, own.schema, options=options) as out:
                     out.write_batch(own)
                 ids = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(1))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).slice(0, 1), ids.cast(schema.field(1).type), pa.array([sink.getvalue().to_pybytes()])],
                     schema=schema)
 
-    return written(rows.mapInArrow(run, ddl), "shards")
+    spark, name = docs.sparkSession, f"shards_{uuid.uuid4().hex}"
+    (rows.mapInArrow(run, ddl).write.bucketBy(_buckets(spark), "shard")
+     .option("path", f"{shared_folder(spark)}/{name}").saveAsTable(name))
+    return spark.table(name)
 
 
 def _unpacked(rows: bytes) -> pa.Table:
     return pa.ipc.open_stream(rows).read_all()
 
 
+def _slices(texts: pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
+    """Some texts at a time, and the place of the first."""
+    for some in groups(pc.binary_length(texts).to_pylist(), SORTED):
+        yield some.start, texts.slice(some.start, some.stop - some.start).to_pylist()
+
+
+def _counted(texts: pa.ChunkedArray, taught: set[int], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of some texts in order, and how often those at the places ``taught`` have each."""
+    def parts():
+        for begun, some in _slices(texts):
+            for known in (True, False):
+                read = [t for i, t in enumerate(some, begun) if (i in taught) == known]
+                if read:
+                    gram, n = np.unique(_grams_of(read, order)[0], return_counts=True)
+                    yield gram, n * known
+
+    return _merged(parts())
+
+
 def _asked(shards: DataFrame, good: DataFrame, order: int) -> DataFrame:
-    """``gram``, ``shard``, ``n``: the distinct n-grams of a shard, and how often its trusted texts have each; written."""
-    ddl = "gram long, shard long, n long"
+    """``bucket``, ``shard``, ``data``: blocks of the distinct n-grams of a shard, turned and in order; written.
+
+    With each goes how often the shard's trusted texts have it.
+    """
+    ddl = "bucket int, shard long, data binary"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
+    buckets, near = _buckets(shards.sparkSession), BYTES ** (min(BASE, order) - 1)
     trusted = (shards.select("shard", F.posexplode("ids").alias("place", "doc_id")).join(good, "doc_id", "left_semi")
                .groupBy("shard").agg(F.collect_list("place").alias("trusted")))
     flagged = shards.join(trusted, "shard", "left").select("shard", "rows", "trusted")
@@ -200,21 +334,77 @@ def _asked(shards: DataFrame, good: DataFrame, order: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             for shard, rows, places in zip(*[c.to_pylist() for c in batch.columns]):
-                texts = _unpacked(rows).column(-1).to_pylist()
-                taught = set(places or ())
-                read = {True: [np.zeros(0, np.int64)], False: [np.zeros(0, np.int64)]}
-                for i, text in enumerate(texts):
-                    read[i in taught].append(byte_grams(text, order))
-                known, count = np.unique(np.concatenate(read[True]), return_counts=True)
-                every = np.union1d(known, np.concatenate(read[False]))
-                n = np.zeros(len(every), np.int64)
-                n[np.searchsorted(every, known)] = count
+                gram, n = _counted(_unpacked(rows).column(-1), set(places or ()), order)
+                key, bucket = _turned(gram, order), _bucket((gram >> 8) % near, buckets)
+                place = np.lexsort((key, bucket))
+                key, n, bucket = key[place], n[place], bucket[place]
+                heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+                blocks = [_pack(key[a:b], n[a:b]) for a, b in zip(heads, np.append(heads[1:], len(key)))]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(every), pa.array(np.full(len(every), shard, np.int64)), pa.array(n)], schema=schema)
+                    [pa.array(bucket[heads], pa.int32()), pa.array([shard] * len(heads), pa.int64()),
+                     pa.array(blocks, pa.binary())], schema=schema)
 
     return written(flagged.mapInArrow(run, ddl), "asked")
 
 
+def _low_tables(asked: DataFrame, order: int) -> DataFrame:
+    """``level``, ``gram``, ``n``, written: all n-grams of ``BASE`` bytes, or of ``order``, with their counts.
+
+    For each level above it and bucket, ``gram`` from 1 to 4 is a count and ``n`` how many n-grams have it.
+    """
+    ddl = "level int, gram long, n long"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(_, table):
+        *above, (key, n, _) = _levels(*_merged_blocks(table.column("data").to_pylist()), order)
+        level, gram, count = [np.full(len(key), min(BASE, order))], [_turned(key, min(BASE, order))], [n]
+        for i, (_, held, _) in enumerate(above):
+            level.append(np.full(4, order - i))
+            gram.append(np.arange(1, 5))
+            count.append(np.bincount(held[held < 5], minlength=5)[1:])
+        return pa.Table.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip((level, gram, count), schema)],
+                                    schema=schema)
+
+    return written(asked.groupBy("bucket").applyInArrow(run, ddl), "low")
+
+
+def _answers(asked: DataFrame, order: int) -> DataFrame:
+    """``shard``, ``data``: each block's n-grams with minus the base-2 log of the interpolated probability."""
+    base = min(BASE, order)
+    low = _low_tables(asked, order)
+    sizes = low.filter(F.col("level") > base).groupBy("level", F.col("gram").alias("n")).agg(
+        F.sum("n").alias("times"))
+    # Three numbers for each order above ``BASE``.
+    cuts = {r.level: (r.d1, r.d2, r.d3) for r in _discounts(sizes, "level").collect()}
+    below = probabilities(low.filter(F.col("level") == base).select("gram", "n"), base).withColumn(
+        "bucket", _bucket(F.shiftright("gram", 8), _buckets(asked.sparkSession)))
+    ddl = "shard long, data binary"
+    schema = to_arrow_schema(StructType.fromDDL(ddl))
+
+    def run(own: pa.Table, told: pa.Table) -> pa.Table:
+        shards, blocks = own.column("shard").to_pylist(), own.column("data").to_pylist()
+        levels = _levels(*_merged_blocks(blocks), order)
+        gram, p = told.column("gram").to_numpy(), told.column("p").to_numpy()
+        place = np.argsort(gram)
+        p = p[place][np.searchsorted(gram[place], _turned(levels[-1][0], base))]
+        for level, (key, n, shorter) in zip(range(base + 1, order + 1), reversed(levels[:-1])):
+            d1, d2, d3 = cuts[level]
+            cut = np.minimum(np.where(n == 1, d1, np.where(n == 2, d2, d3)), n)
+            heads = np.flatnonzero(np.diff(key >> 8, prepend=-1))
+            total, left = (np.repeat(np.add.reduceat(x, heads), np.diff(np.append(heads, len(key)))) for x in (n, cut))
+            seen = total > 0
+            total = np.maximum(total, 1)
+            p = (n - cut) / total + np.where(seen, left / total, 1.0) * p[shorter]
+        b = -np.log2(p).astype(np.float32)
+        told = []
+        for data in blocks:
+            key = _unpack(data, np.int64, np.int64)[0]
+            told.append(_pack(key, b[np.searchsorted(levels[0][0], key)]))
+        return pa.Table.from_arrays([pa.array(shards, pa.int64()), pa.array(told, pa.binary())], schema=schema)
+
+    return asked.groupBy("bucket").cogroup(below.groupBy("bucket")).applyInArrow(run, ddl)
+
+
 def probabilities(asked: DataFrame, order: int = ORDER) -> DataFrame:
     """``gram``, ``p``: the interpolated probability of every n-gram of ``asked``, of which those with ``n`` > 0 were seen.
 
@@ -258,22 +448,31 @@ def perplexity(docs: DataFrame, good: DataFrame, order: int = ORDER, name: str =
     """
     columns = [c for c in docs.columns if c != name and (keep_text or c != "text")]
     shards = _shards(docs, columns)
-    asked = _asked(shards, good, order)
-    p = probabilities(asked, order)
-    answers = asked.select("gram", "shard").join(p, "gram").select(
-        "shard", "gram", (-F.log2("p")).cast("float").alias("b"))
+    answers = _answers(_asked(shards, good, order), order)
     out = StructType([*[docs.schema[c] for c in columns], *StructType.fromDDL(f"`{name}` double").fields])
     schema = to_arrow_schema(out)
 
     def score(own: pa.Table, told: pa.Table) -> pa.Table:
-        gram, b = told.column("gram").to_numpy(), told.column("b").to_numpy()
-        order_of = np.argsort(gram)
-        gram, b = gram[order_of], b[order_of].astype(np.float64)
+        blocks = [(np.zeros(0, np.int64), np.zeros(0, np.float32)),
+                  *(_unpack(d, np.int64, np.float32) for d in told.column("data").to_pylist())]
+        key, b = map(np.concatenate, zip(*blocks))
+        gram = _turned(key, order)
+        place = np.argsort(gram)
+        gram, b = gram[place], b[place].astype(np.float64)
         parts = []
         for rows in own.column("rows").to_pylist():
             held = _unpacked(rows)
-            scores = [float(b[np.searchsorted(gram, byte_grams(t, order))].mean()) if t else None
-                      for t in held.column(-1).to_pylist()]
+            scores = []
+            for _, some in _slices(held.column(-1)):
+                read, sizes = _grams_of(some, order)
+                # In order, each distinct n-gram is looked up once, next to the one before.
+                place = np.argsort(read)
+                read = read[place]
+                heads = np.flatnonzero(np.diff(read, prepend=-1))
+                bits = np.empty(len(read))
+                bits[place] = np.repeat(b[np.searchsorted(gram, read[heads])], np.diff(np.append(heads, len(read))))
+                edges = np.cumsum(sizes)
+                scores += [float(bits[z - n:z].mean()) if n else None for z, n in zip(edges.tolist(), sizes.tolist())]
             parts.append(pa.Table.from_arrays(
                 [*[c.cast(f.type) for c, f in zip(held.columns[:len(columns)], schema)],
                  pa.chunked_array([pa.array(scores, pa.float64())])], schema=schema))

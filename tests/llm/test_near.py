@@ -337,3 +337,40 @@ def test_model_tells_all_bytes_apart(spark):
         assert got[i] == (None if want is None else pytest.approx(want, rel=1e-5))
     # Other letters of the same script and case are another text.
     assert got[6] < got[2] + 4 and got[3] < got[4]
+
+
+@pytest.mark.parametrize("order", [2, 5, 6, 7])
+def test_blocks_say_what_the_tables_say(spark, sf, order):
+    """All orders inside buckets against the joins of tables by n-gram."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(150).repartition(3)
+    good = docs.filter("doc_id % 3 > 0").select("doc_id")
+    texts, rows = {r.doc_id: r.text for r in docs.collect()}, {}
+    for i, text in texts.items():
+        for g in quality.byte_grams(text, order).tolist():
+            rows[g] = rows.get(g, 0) + (i % 3 > 0)
+    asked = spark.createDataFrame(list(rows.items()), "gram long, n long")
+    p = {r.gram: r.p for r in quality.probabilities(asked, order).collect()}
+    want = {i: np.mean([-np.log2(p[g]) for g in quality.byte_grams(t, order).tolist()]) for i, t in texts.items() if t}
+    got = {r.doc_id: r.bits for r in quality.perplexity(docs, good, order).collect()}
+    assert len(want) > 100 and {i: got[i] for i in want} == pytest.approx(want, rel=1e-5)
+
+
+def test_texts_are_scored_where_they_were_written(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    scored = quality.perplexity(docs, docs.select("doc_id"))
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    # What the model says is shuffled to the shards, their texts are not.
+    assert plan.count("Exchange hashpartitioning(shard") == 1
+    shards = quality._shards(docs, ["doc_id"])
+    asked = quality._asked(shards, docs.select("doc_id"), 6)
+    assert asked.count() <= shards.count() * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_many_copies_leave_no_text_without_a_probability(spark):
+    """With copies more n-grams occur four times than thrice, and the estimated discount would be below 0."""
+    texts = ["one of a kind, seen once", *["seen twice, no more"] * 2, *["thrice is rare"] * 3,
+             *[f"four copies of number {i} and of many other words" for i in range(40)] * 4]
+    docs = spark.createDataFrame(list(enumerate([*texts, "qqq zzz jjj xxx"])), "doc_id long, text string")
+    good = docs.filter(f"doc_id < {len(texts)}").select("doc_id")
+    got = [r.bits for r in quality.perplexity(docs, good).collect()]
+    assert len(got) == len(texts) + 1 and np.isfinite(got).all()
