@@ -186,6 +186,21 @@ def test_lines_by_edit_similarity_alone(spark, sf):
     assert len(pairs) > 100 and want <= kept <= want + 0.05 * len(pairs)
 
 
+def test_edit_distances_are_counted_after_the_repartition(spark, monkeypatch):
+    """Before it there are few tasks, and what a filter there trims is worked out once for each place it is used in."""
+    plans = []
+
+    def kept(df, name, write=lines.written):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(lines, "written", kept)
+    frame = spark.createDataFrame([(1, "one two three four"), (2, "one two three five"), (3, "six")], "doc_id long, text string")
+    assert {r.doc_id: r.removed for r in lines.repeated_lines(frame).collect()} == {1: [], 2: [0], 3: []}
+    plans = [p for p in plans if "levenshtein" in p]
+    assert plans and all(p.rindex("levenshtein") < p.index("Repartition") for p in plans)
+
+
 @pytest.fixture(scope="module")
 def trusted(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
