@@ -2,7 +2,7 @@
 
 Every byte is a symbol of its own, so texts of all scripts are told apart, and
 the tables of n-grams grow with the corpus. Documents are packed into shards of
-whole rows. A shard sends each distinct n-gram of its texts once, with its count
+whole rows, in parts. A shard sends each distinct n-gram of its texts once, with its count
 in the shard's trusted texts, to the bucket of the three bytes before its last.
 All n-grams of a context, and all that end in one n-gram of four bytes, are in
 one bucket, which so knows sums, continuation counts and context totals of the
@@ -36,8 +36,8 @@ from storeloom.llm.common import groups, shared_folder, text_of, written
 BYTES, ORDER = 256, 6
 #: Orders above this one are counted inside buckets.
 BASE = 4
-#: Bytes of text in a shard; bytes whose n-grams are sorted together; n-grams that are merged together.
-SHARD, SORTED, MERGED = 32 << 20, 1 << 20, 1 << 20
+#: Bytes of text in a shard and in one of its parts; bytes whose n-grams are sorted together; n-grams merged together.
+SHARD, PART, SORTED, MERGED = 32 << 20, 4 << 20, 1 << 20, 1 << 20
 #: The dense table's alphabet and order.
 SYMBOLS, DENSE_ORDER = 32, 4
 SPACE, CAPITAL, DIGIT, STOP, MARK, BEYOND = range(26, 32)
@@ -265,13 +265,15 @@ def _levels(key: np.ndarray, n: np.ndarray, order: int) -> list[tuple[np.ndarray
 
 
 def _shards(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``shard``, ``ids`` and ``rows``: ``columns`` of some rows as a compressed Arrow stream.
+    """``shard``, ``part``, ``ids`` and ``rows``: ``columns`` of some rows as a compressed Arrow stream.
 
-    The text, null being empty, is the stream's last column. The table is
-    bucketed by shard in the shared folder, so that no join or group by shard
-    shuffles texts.
+    The text, null being empty, is the stream's last column. A shard is some
+    rows of the table, none with more than ``PART`` bytes of text unless it has
+    but one, so that no task holds a shard in one piece. The table is bucketed
+    by shard in the shared folder, so that no join or group by shard shuffles
+    texts.
     """
-    ddl = "shard long, ids array<long>, rows binary"
+    ddl = "shard long, part long, ids array<long>, rows binary"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
     rows = docs.select(F.monotonically_increasing_id().alias("_at"), F.col("doc_id").cast("long").alias("_id"),
                        *[F.col(c).alias(f"c{i}") for i, c in enumerate(columns)], text_of().alias("_text"))
@@ -279,16 +281,19 @@ def _shards(docs: DataFrame, columns: list[str]) -> DataFrame:
     def run(batches):
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", 3))
         for batch in batches:
-            for held in groups(pc.binary_length(batch.column(batch.num_columns - 1)).to_pylist(), SHARD):
-                part = batch.slice(held.start, held.stop - held.start)
-                own = part.select(list(range(2, part.num_columns)))
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, own.schema, options=options) as out:
-                    out.write_batch(own)
-                ids = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(1))
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).slice(0, 1), ids.cast(schema.field(1).type), pa.array([sink.getvalue().to_pybytes()])],
-                    schema=schema)
+            sizes = pc.binary_length(batch.column(batch.num_columns - 1)).to_pylist()
+            for held in groups(sizes, SHARD):
+                shard = batch.column(0).slice(held.start, 1)
+                for some in groups(sizes[held], PART):
+                    part = batch.slice(held.start + some.start, some.stop - some.start)
+                    own = part.select(list(range(2, part.num_columns)))
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, own.schema, options=options) as out:
+                        out.write_batch(own)
+                    ids = pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part.column(1))
+                    yield pa.RecordBatch.from_arrays(
+                        [shard, part.column(0).slice(0, 1), ids.cast(schema.field(2).type),
+                         pa.array([sink.getvalue().to_pybytes()])], schema=schema)
 
     spark, name = docs.sparkSession, f"shards_{uuid.uuid4().hex}"
     (rows.mapInArrow(run, ddl).write.bucketBy(_buckets(spark), "shard")
@@ -296,7 +301,7 @@ def _shards(docs: DataFrame, columns: list[str]) -> DataFrame:
     return spark.table(name)
 
 
-def _unpacked(rows: bytes) -> pa.Table:
+def _unpacked(rows: pa.Buffer) -> pa.Table:
     return pa.ipc.open_stream(rows).read_all()
 
 
@@ -306,17 +311,18 @@ def _slices(texts: pa.ChunkedArray) -> Iterator[tuple[int, list[str]]]:
         yield some.start, texts.slice(some.start, some.stop - some.start).to_pylist()
 
 
-def _counted(texts: pa.ChunkedArray, taught: set[int], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct n-grams of some texts in order, and how often those at the places ``taught`` have each."""
-    def parts():
-        for begun, some in _slices(texts):
-            for known in (True, False):
-                read = [t for i, t in enumerate(some, begun) if (i in taught) == known]
-                if read:
-                    gram, n = np.unique(_grams_of(read, order)[0], return_counts=True)
-                    yield gram, n * known
+def _counted(parts: Iterable[tuple[pa.Buffer, set[int]]], order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a shard's parts in order, and how often the texts at the places given have each."""
+    def counts():
+        for rows, taught in parts:
+            for begun, some in _slices(_unpacked(rows).column(-1)):
+                for known in (True, False):
+                    read = [t for i, t in enumerate(some, begun) if (i in taught) == known]
+                    if read:
+                        gram, n = np.unique(_grams_of(read, order)[0], return_counts=True)
+                        yield gram, n * known
 
-    return _merged(parts())
+    return _merged(counts())
 
 
 def _asked(shards: DataFrame, good: DataFrame, order: int) -> DataFrame:
@@ -327,24 +333,25 @@ def _asked(shards: DataFrame, good: DataFrame, order: int) -> DataFrame:
     ddl = "bucket int, shard long, data binary"
     schema = to_arrow_schema(StructType.fromDDL(ddl))
     buckets, near = _buckets(shards.sparkSession), BYTES ** (min(BASE, order) - 1)
-    trusted = (shards.select("shard", F.posexplode("ids").alias("place", "doc_id")).join(good, "doc_id", "left_semi")
-               .groupBy("shard").agg(F.collect_list("place").alias("trusted")))
-    flagged = shards.join(trusted, "shard", "left").select("shard", "rows", "trusted")
+    trusted = (shards.select(F.col("shard").alias("of"), F.col("part").alias("at"),
+                             F.posexplode("ids").alias("place", "doc_id"))
+               .join(good, "doc_id", "left_semi").groupBy("of", "at").agg(F.collect_list("place").alias("places")))
 
-    def run(batches):
-        for batch in batches:
-            for shard, rows, places in zip(*[c.to_pylist() for c in batch.columns]):
-                gram, n = _counted(_unpacked(rows).column(-1), set(places or ()), order)
-                key, bucket = _turned(gram, order), _bucket((gram >> 8) % near, buckets)
-                place = np.lexsort((key, bucket))
-                key, n, bucket = key[place], n[place], bucket[place]
-                heads = np.flatnonzero(np.diff(bucket, prepend=-1))
-                blocks = [_pack(key[a:b], n[a:b]) for a, b in zip(heads, np.append(heads[1:], len(key)))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(bucket[heads], pa.int32()), pa.array([shard] * len(heads), pa.int64()),
-                     pa.array(blocks, pa.binary())], schema=schema)
-
-    return written(flagged.mapInArrow(run, ddl), "asked")
+    def run(own: pa.Table, told: pa.Table) -> pa.Table:
+        taught = dict(zip(told.column("at").to_pylist(), map(set, told.column("places").to_pylist())))
+        parts = zip(own.column("part").to_pylist(), own.column("rows"))
+        gram, n = _counted(((rows.as_buffer(), taught.get(part, set())) for part, rows in parts), order)
+        key, bucket = _turned(gram, order), _bucket((gram >> 8) % near, buckets)
+        place = np.lexsort((key, bucket))
+        key, n, bucket = key[place], n[place], bucket[place]
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+        blocks = [_pack(key[a:b], n[a:b]) for a, b in zip(heads, np.append(heads[1:], len(key)))]
+        return pa.Table.from_arrays(
+            [pa.array(bucket[heads], pa.int32()), pa.array([own.column("shard")[0].as_py()] * len(heads), pa.int64()),
+             pa.array(blocks, pa.binary())], schema=schema)
+
+    flagged = shards.select("shard", "part", "rows").groupBy("shard").cogroup(trusted.groupBy("of"))
+    return written(flagged.applyInArrow(run, ddl), "asked")
 
 
 def _low_tables(asked: DataFrame, order: int) -> DataFrame:
@@ -460,8 +467,8 @@ def perplexity(docs: DataFrame, good: DataFrame, order: int = ORDER, name: str =
         place = np.argsort(gram)
         gram, b = gram[place], b[place].astype(np.float64)
         parts = []
-        for rows in own.column("rows").to_pylist():
-            held = _unpacked(rows)
+        for rows in own.column("rows"):
+            held = _unpacked(rows.as_buffer())
             scores = []
             for _, some in _slices(held.column(-1)):
                 read, sizes = _grams_of(some, order)

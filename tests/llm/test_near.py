@@ -381,6 +381,18 @@ def test_texts_are_scored_where_they_were_written(spark, sf):
     assert asked.count() <= shards.count() * int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_shards_are_held_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(quality, "PART", 1000)
+    docs = spark.createDataFrame([(i, "abcd " * 40) for i in range(40)], "doc_id long, text string").coalesce(1)
+    shards = quality._shards(docs, ["doc_id"]).collect()
+    assert len({r.shard for r in shards}) == 1 and len({r.part for r in shards}) == 8
+    assert sorted(i for r in shards for i in r.ids) == list(range(40)) and {len(r.ids) for r in shards} == {5}
+    # A shard still asks as one, and each of its parts is scored.
+    asked = quality._asked(quality._shards(docs, ["doc_id"]), docs.select("doc_id"), 6)
+    assert asked.groupBy("bucket", "shard").count().filter("count > 1").count() == 0
+    assert {r.doc_id for r in quality.perplexity(docs, docs.select("doc_id")).collect()} == set(range(40))
+
+
 def test_no_discount_is_zero(spark):
     """With copies many more n-grams occur four times than thrice, and the estimated third discount is below 0.
 
