@@ -6,9 +6,10 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from storeloom.llm import components, lines, neardup, quality, queries
+from storeloom.llm import buckets, components, lines, neardup, quality, queries
 
 from llm_cases import ODD, repeated_bytes
 
@@ -201,6 +202,72 @@ def test_edit_distances_are_counted_after_the_repartition(spark, monkeypatch):
     assert plans and all(p.rindex("levenshtein") < p.index("Repartition") for p in plans)
 
 
+def test_bounds_of_edit_distances(spark):
+    """Counts of letters are never above the distance, cuts never below it, and near copies are cut near it."""
+    rnd = random.Random(21)
+    texts = []
+    for i in range(40):
+        x = [rnd.choice("abc d\u00e9\u4e2d" if i % 2 else "etaoin shrdlu") for _ in range(rnd.randint(128, 420))]
+        y = list(x)
+        for _ in range(rnd.randint(0, 12)):
+            at = rnd.randrange(len(y))
+            y[at:at + rnd.randint(0, 9)] = rnd.choices("xyz ", k=rnd.randint(0, 9))
+        texts.append(("".join(x), "".join(y) + "q" * 128))
+    texts += [("ab" * 200, "ba" * 200), ("a" * 200, "b" * 200), ("a" * 128, "a" * 300)]
+    rows = spark.createDataFrame(texts, "x string, y string")
+    rows = lines.with_letters(rows, "x").withColumnRenamed("letters", "p")
+    rows = lines.with_letters(rows, "y").withColumnRenamed("letters", "q")
+    got = rows.select("x", "y", "p", lines.least_distance("p", "q").alias("least")).selectExpr(
+        "*", "levenshtein(x, y) AS d", f"{lines._cut_distance('x', 'y', '300')} AS cut").collect()
+    assert all(sum(r.p) == len(r.x) and r.p[5] == r.x.count("e") for r in got)
+    assert all(r.least <= r.d and (r.cut >= r.d or r.d > 300 < r.cut) for r in got)
+    assert sum(r.cut <= r.d + 20 for r in got) > 30
+
+
+def test_pairs_of_other_letters_get_no_edit_distance(spark, monkeypatch):
+    """Lines that meet in n-grams alone were all judged by their distance."""
+    judged = []
+
+    def kept(df, name, write=lines.written):
+        out = write(df, name)
+        if name.endswith("-judged"):
+            judged.append(out.count())
+        return out
+
+    monkeypatch.setattr(lines, "written", kept)
+    same = "thequickbrownfoxjumpsoverthelazydogandthenitrests"
+    rows = [(i, f"{same} {c * 60}") for i, c in enumerate("abcdefgh")] + [(8, f"{same} {'a' * 59}b")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.removed for r in lines.repeated_lines(frame).collect()}
+    assert got == {i: [0] if i == 8 else [] for i in range(9)}
+    assert sum(judged) == 1
+
+
+def test_keys_are_shuffled_once(spark, monkeypatch):
+    """They were counted in one shuffle and joined with the counts in a second."""
+    plans = {}
+
+    def kept(df, name, write=buckets.written):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return write(df, name)
+
+    monkeypatch.setattr(buckets, "written", kept)
+    frame = spark.createDataFrame([(1, "one two three four"), (2, "one two three five")], "doc_id long, text string")
+    assert lines.repeated_lines(frame).count() == 2
+    assert "Window" in plans["lines-crowd"] and "Join" not in plans["lines-crowd"]
+
+
+def test_sketches_of_bytes_and_characters_agree(spark):
+    texts = [("the quick brown fox jumps over it " * 5,), ("short lines, too",), ("thirty characters or a few more",)]
+    rows = spark.createDataFrame(texts, "t string")
+    wide = "transform(regexp_extract_all({}, '(?s)(?=(.{{{}}}))', 1), g -> hash(g))"
+    for r in rows.select("t", lines.sketch("t", "char_length(t)").alias("s"), *[
+            F.expr(f"slice(sort_array(array_distinct({wide.format('t', w)})), 1, {lines.SMALLEST})").alias(f"w{w}")
+            for _, w in lines.SKETCHES if w]).collect():
+        held = [x for x in r.s if x]
+        assert held and all(x in (r.w3, r.w5, r.w8, r.w12) for x in held)
+
+
 @pytest.fixture(scope="module")
 def trusted(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
