@@ -1,8 +1,10 @@
 """Files, the whole pipeline and the serving refresh."""
 
+import glob
 import os
 from datetime import date
 
+import pyarrow.parquet as pq
 import pytest
 from storeloom.checks import queries as checks
 from pyspark.sql import functions as F
@@ -98,6 +100,22 @@ def test_fact_is_partitioned_by_year(spark, lake):
     assert any(n.startswith("purchase_year=") for n in os.listdir(layout.path("gold", "fact_sales")))
 
 
+def _parquet_files(folder):
+    return [f"{at}/{n}" for at, _, names in os.walk(folder) for n in names if n.endswith(".parquet")]
+
+
+def test_tables_are_compressed_tightly(spark, lake):
+    """Each layer was written with the default codec."""
+    layout, _ = lake
+    refresh.load_table(spark, layout, "fact_sales")
+    for place in (layout.path("bronze", "purchases"), layout.path("silver", "purchases"),
+                  layout.path("gold", "fact_sales"), layout.path("serving", "fact_sales") + "/snapshot-*"):
+        found = [f for p in glob.glob(place) for f in _parquet_files(p)]
+        codecs = {pq.read_metadata(f).row_group(0).column(0).compression for f in found
+                  if pq.read_metadata(f).num_row_groups}
+        assert codecs == {"ZSTD"}, place
+
+
 def test_refresh_and_lookups(spark, lake):
     layout, _ = lake
     done = refresh.refresh_serving(spark, layout).collect()
