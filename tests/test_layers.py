@@ -116,6 +116,14 @@ def test_tables_are_compressed_tightly(spark, lake):
         assert codecs == {"ZSTD"}, place
 
 
+def test_fact_files_hold_the_purchases_of_a_client_together(spark, lake):
+    layout, _ = lake
+    read = [pq.ParquetFile(f).read(["id_client", "id_purchase"]).to_pylist()
+            for f in _parquet_files(layout.path("gold", "fact_sales"))]
+    held = [[(r["id_client"], r["id_purchase"]) for r in rows] for rows in read]
+    assert sum(map(len, held)) > 100 and all(rows == sorted(rows) for rows in held)
+
+
 def test_refresh_and_lookups(spark, lake):
     layout, _ = lake
     done = refresh.refresh_serving(spark, layout).collect()
